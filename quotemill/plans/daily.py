@@ -59,10 +59,11 @@ def load_staging(
     return replace_table(rows, f"{database}.full_data")
 
 
-def _in_parallel(jobs: Sequence[Callable[[], object]]) -> None:
+def _in_parallel(spark: SparkSession, jobs: Sequence[Callable[[], object]]) -> None:
     # A few Spark jobs that do not depend on each other, submitted together.
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-        for done in [pool.submit(inheritable_thread_target(job)) for job in jobs]:
+        carried = inheritable_thread_target(spark)
+        for done in [pool.submit(carried(job)) for job in jobs]:
             done.result()
 
 
@@ -105,7 +106,7 @@ def load_star(
 
         return load
 
-    _in_parallel([load_dates, *(load_measures(table) for table in MEASURE_DIMS)])
+    _in_parallel(spark, [load_dates, *(load_measures(table) for table in MEASURE_DIMS)])
 
     dims = {name: spark.table(f"{database}.{name}") for name in tables if name != "fact_table"}
     facts = fact_table(staging, dims)

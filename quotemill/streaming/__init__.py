@@ -4,6 +4,7 @@ from quotemill.streaming.sink import (
     all_of,
     keyed_batch_writer,
     plain_batch_writer,
+    read_batches,
     run_to_end,
     start_batches,
     start_console,
@@ -12,6 +13,6 @@ from quotemill.streaming.sink import (
 
 __all__ = [
     "all_of", "backfill", "backfill_messages", "decode_quotes", "keyed_batch_writer",
-    "plain_batch_writer", "run_to_end", "split_malformed", "start_batches", "start_console",
+    "plain_batch_writer", "read_batches", "run_to_end", "split_malformed", "start_batches", "start_console",
     "stream_table",
 ]

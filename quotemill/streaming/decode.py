@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,20 +28,16 @@ def split_malformed(
     of the wrong type) or when it holds none of the fields.
     """
     with_corrupt = T.StructType([*schema, T.StructField(_CORRUPT, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     text = F.col(value).cast("string")
+    # inline() parses each message once; a filter on a parsed struct would be
+    # pushed below it and parse again for every field it looks at.
     parsed = messages.select(
-        text.alias("__value"),
-        F.from_json(
-            text, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-        ).alias("records"),
-    )
-    nothing = reduce(
-        lambda a, b: a & b, [F.col("records")[name].isNull() for name in schema.fieldNames()]
-    )
-    malformed = F.col("records")[_CORRUPT].isNotNull() | nothing
-    good = parsed.where(~malformed).select(
-        *(F.col("records")[name].alias(name) for name in schema.fieldNames())
+        text.alias("__value"), F.inline(F.array(F.from_json(text, with_corrupt, options)))
     )
+    fields = [F.col(name) for name in schema.fieldNames()]
+    malformed = F.col(_CORRUPT).isNotNull() | (F.coalesce(*(f.cast("string") for f in fields)).isNull())
+    good = parsed.where(~malformed).select(*fields)
     bad = parsed.where(F.col("__value").isNotNull() & malformed).select(
         F.col("__value").alias("value")
     )

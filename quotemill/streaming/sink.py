@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from quotemill.operators.numbering import assign_keys, last_key
@@ -20,10 +21,15 @@ def batch_folder(path: str, batch_id: int) -> str:
     return f"{path}/batch_id={batch_id}"
 
 
-def stream_table(spark, path: str) -> DataFrame:
+def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Rows written so far; ``batch_id`` comes from the folder names."""
-    schema = stream_table_schema().add("batch_id", "bigint")
-    return spark.read.schema(schema).parquet(path)
+    fields = [*schema, T.StructField("batch_id", T.LongType())]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
+def stream_table(spark: SparkSession, path: str) -> DataFrame:
+    """The keyed stream table."""
+    return read_batches(spark, path, stream_table_schema())
 
 
 def keyed_batch_writer(path: str, order: Sequence[str] = ("date", "code")) -> BatchFunction:
@@ -36,7 +42,7 @@ def keyed_batch_writer(path: str, order: Sequence[str] = ("date", "code")) -> Ba
     def write(batch: DataFrame, batch_id: int) -> None:
         target = batch_folder(path, batch_id)
         rows = batch.withColumnsRenamed(STREAM_RENAMES)
-        start: int | object = 0
+        start: int | Column = 0
         if batch_id > 0:
             earlier = stream_table(batch.sparkSession, path).where(F.col("batch_id") < batch_id)
             start = last_key(earlier, "id")

@@ -18,7 +18,7 @@ from workload import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-STREAM_TIMEOUT = 600
+STREAM_TIMEOUT = 300
 
 
 def _staging(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -417,14 +417,14 @@ def stream_decode(spark, sf_dir):
     decoded = streaming.decode_quotes(fx.message_stream(spark, sf_dir))
     path = scratch_path(spark, "stream")
     _drain(spark, decoded, streaming.plain_batch_writer(path))
-    return _as_quotes(spark.read.schema(decoded.schema).parquet(path))
+    return _as_quotes(streaming.read_batches(spark, path, decoded.schema)).drop("batch_id")
 
 
 def stream_malformed(spark, sf_dir):
     _, malformed = streaming.split_malformed(fx.message_stream(spark, sf_dir, broken=True))
     path = scratch_path(spark, "malformed")
     _drain(spark, malformed, streaming.plain_batch_writer(path))
-    rejected = spark.read.schema(malformed.schema).parquet(path)
+    rejected = streaming.read_batches(spark, path, malformed.schema)
     # The code still stands in the rejected text.
     code = F.regexp_extract("value", r'"code":"([^"]*)"', 1).alias("code")
     return rejected.select(code, F.contains("value", F.lit("n/a")).alias("bad_number"))
@@ -434,7 +434,7 @@ def stream_readable(spark, sf_dir):
     good, _ = streaming.split_malformed(fx.message_stream(spark, sf_dir, broken=True))
     path = scratch_path(spark, "readable")
     _drain(spark, good, streaming.plain_batch_writer(path))
-    return _as_quotes(spark.read.schema(good.schema).parquet(path))
+    return _as_quotes(streaming.read_batches(spark, path, good.schema)).drop("batch_id")
 
 
 def stream_foreachbatch(spark, sf_dir):
@@ -453,7 +453,7 @@ def stream_two_sinks(spark, sf_dir):
     _drain(spark, decoded, both)
     back = {new: old for old, new in STREAM_RENAMES.items()}
     stored = streaming.stream_table(spark, keyed).drop("id", "batch_id").withColumnsRenamed(back)
-    echoed = spark.read.schema(decoded.schema).parquet(echo)
+    echoed = streaming.read_batches(spark, echo, decoded.schema).drop("batch_id")
     return _as_quotes(
         stored.withColumn("sink", F.lit("table")).unionByName(
             echoed.withColumn("sink", F.lit("echo"))
