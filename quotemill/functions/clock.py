@@ -32,7 +32,7 @@ def stamp_date(stamp: Column, run_date: dt.date | str | None = None) -> Column:
     )
 
 
-def clock_unit(stamp: Column, unit: str) -> Column:
-    """Hours, minutes or seconds as int; NULL when missing or not a number."""
-    piece = F.get(F.split(clock_text(stamp), ":"), F.lit(CLOCK_UNITS.index(unit)))
+def clock_unit(clock: Column, unit: str) -> Column:
+    """Hours, minutes or seconds of a time of day; NULL when missing or not a number."""
+    piece = F.get(F.split(clock, ":"), F.lit(CLOCK_UNITS.index(unit)))
     return F.split_part(piece, F.lit("."), F.lit(1)).try_cast("int")

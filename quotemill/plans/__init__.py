@@ -4,13 +4,15 @@ from quotemill.plans.star import (
     datetime_dim,
     dimensions,
     fact_table,
+    keyed_measures,
     measure_dim,
     measure_rows,
+    number_staging,
     star_readback,
 )
 
 __all__ = [
     "blank_staging", "datetime_dim", "day_quotes", "dimensions", "fact_table",
-    "load_staging", "load_star", "measure_dim", "measure_rows", "rename_by_position",
-    "run_daily", "star_readback", "transform_quotes",
+    "keyed_measures", "load_staging", "load_star", "measure_dim", "measure_rows",
+    "number_staging", "rename_by_position", "run_daily", "star_readback", "transform_quotes",
 ]

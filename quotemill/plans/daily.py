@@ -9,13 +9,13 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotemill.operators.loading import append_new, rows_not_in
-from quotemill.operators.numbering import assign_keys, last_key
+from quotemill.operators.loading import BUSINESS_KEY, rows_not_in
+from quotemill.operators.numbering import last_key
 from quotemill.operators.publish import publish_if_complete
 from quotemill.operators.selection import first_record, price_range
 from quotemill.operators.symbols import symbol_positions, symbol_shards
 from quotemill.plans.staging import blank_staging, transform_quotes
-from quotemill.plans.star import datetime_dim, fact_table, measure_rows
+from quotemill.plans.star import datetime_dim, fact_table, keyed_measures, number_staging
 from quotemill.schemas import MEASURE_DIMS, star_schemas
 from quotemill.scratch import land
 from quotemill.sinks.tables import append_table, create_if_absent, replace_table
@@ -76,8 +76,10 @@ def load_star(
 ) -> DataFrame:
     """Append one load to the six dimensions and the fact table; returns the fact table.
 
-    With ``dedupe`` rows already loaded are skipped, so a repeated load changes
-    nothing. One writer per table: plain Parquet tables have no transactions.
+    The rows are numbered once for all measure dimensions. With ``dedupe`` rows
+    already loaded are skipped, so a repeated load changes nothing; the numbers
+    of skipped rows stay unused. ``staging`` must be a table scan. One writer
+    per table: plain Parquet tables have no transactions.
     """
     tables = {
         name: create_if_absent(spark, f"{database}.{name}", schema)
@@ -85,28 +87,20 @@ def load_star(
         if name != "full_data"
     }
 
-    def load_dates() -> None:
-        dates = datetime_dim(staging, padded)
-        if dedupe:
-            dates = rows_not_in(dates, tables["datetime_dim"], DATE_KEY)
-        append_table(dates, f"{database}.datetime_dim")
-
-    def load_measures(table: str) -> Callable[[], None]:
-        def load() -> None:
-            key, _ = MEASURE_DIMS[table]
-            rows = measure_rows(staging, table)
-            if dedupe:
-                keyed = append_new(rows, tables[table], key)
-            else:
-                # Staging is a table scan, so its rows need no landing.
-                keyed = assign_keys(
-                    rows, key, start=last_key(tables[table], key), land_input=False
-                )
-            append_table(keyed, f"{database}.{table}")
-
-        return load
-
-    _in_parallel(spark, [load_dates, *(load_measures(table) for table in MEASURE_DIMS)])
+    numbered = number_staging(staging, land_input=False)
+
+    def load(table: str, rows: DataFrame, business_key: Sequence[str]) -> Callable[[], None]:
+        def job() -> None:
+            fresh = rows_not_in(rows, tables[table], business_key) if dedupe else rows
+            append_table(fresh, f"{database}.{table}")
+
+        return job
+
+    jobs = [load("datetime_dim", datetime_dim(numbered, padded), DATE_KEY)]
+    for table, (key, _) in MEASURE_DIMS.items():
+        rows = keyed_measures(numbered, table, last_key(tables[table], key))
+        jobs.append(load(table, rows, BUSINESS_KEY))
+    _in_parallel(spark, jobs)
 
     dims = {name: spark.table(f"{database}.{name}") for name in tables if name != "fact_table"}
     facts = fact_table(staging, dims)

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotemill.functions.clock import clock_text, clock_unit, stamp_date
+from quotemill.functions.clock import CLOCK_UNITS, clock_text, clock_unit, stamp_date
 from quotemill.schemas import QUOTE, STAGING
 
 
@@ -32,21 +32,26 @@ def transform_quotes(
 
     ``update_parts_from="date_string"`` takes year, month and day of the update
     from the trading date, which is the established output; ``"date_update"``
-    takes them from the update date. One projection, no shuffle.
+    takes them from the update date. Projections only, no shuffle.
     """
     if update_parts_from not in ("date_string", "date_update"):
         raise ValueError("update_parts_from is date_string or date_update")
-    trading_day = F.col("date").cast("date")
-    update_day = stamp_date(F.col("time"), run_date)
-    parts_day = trading_day if update_parts_from == "date_string" else update_day
-
-    replaced = {"date": trading_day, "time": clock_text(F.col("time"))}
-    kept = [replaced.get(name, F.col(name)).alias(name) for name in QUOTE.fieldNames()]
+    # Texts are taken apart once, the columns after it read the parts.
+    parsed = quotes.select(
+        *(F.col(name) for name in QUOTE.fieldNames() if name not in ("date", "time")),
+        F.col("date").cast("date").alias("date"),
+        clock_text(F.col("time")).alias("time"),
+        stamp_date(F.col("time"), run_date).alias("__update_day"),
+    )
+    update_day = F.col("__update_day")
+    parts_day = F.col("date") if update_parts_from == "date_string" else update_day
     derived = [
-        F.date_format(trading_day, "yyyy-MM-dd"),
-        F.year(trading_day), F.month(trading_day), F.dayofmonth(trading_day),
+        F.date_format("date", "yyyy-MM-dd"),
+        F.year("date"), F.month("date"), F.dayofmonth("date"),
         update_day,
         F.year(parts_day), F.month(parts_day), F.dayofmonth(parts_day),
-        *(clock_unit(F.col("time"), unit) for unit in ("hours", "minutes", "seconds")),
+        *(clock_unit(F.col("time"), unit) for unit in CLOCK_UNITS),
     ]
-    return rename_by_position(quotes.select(*kept, *derived), STAGING.fieldNames())
+    return rename_by_position(
+        parsed.select(*QUOTE.fieldNames(), *derived), STAGING.fieldNames()
+    )

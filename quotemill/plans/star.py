@@ -11,7 +11,7 @@ from quotemill.functions.keys import date_key
 from quotemill.operators.numbering import assign_keys
 from quotemill.schemas import DATETIME_DIM, FOREIGN_KEYS, MEASURE_DIMS, STAGING
 
-_ROW_KEY = "__row_key"
+ROW_KEY = "__row_key"
 
 
 def datetime_dim(staging: DataFrame, padded: bool = False) -> DataFrame:
@@ -23,12 +23,17 @@ def datetime_dim(staging: DataFrame, padded: bool = False) -> DataFrame:
     ).distinct()
 
 
+def _measure_columns(table: str) -> list[Column]:
+    _, measures = MEASURE_DIMS[table]
+    return [
+        F.col("code"), F.col("stock_date"),
+        *(F.col(old).alias(new) for new, old in measures.items()),
+    ]
+
+
 def measure_rows(staging: DataFrame, table: str) -> DataFrame:
     """Columns of one measure dimension without its key, one row per staging row."""
-    _, measures = MEASURE_DIMS[table]
-    return staging.select(
-        "code", "stock_date", *(F.col(old).alias(new) for new, old in measures.items())
-    )
+    return staging.select(*_measure_columns(table))
 
 
 def measure_dim(
@@ -39,11 +44,22 @@ def measure_dim(
     return assign_keys(measure_rows(staging, table), key, start=start, land_input=land_input)
 
 
+def number_staging(staging: DataFrame, land_input: bool = True) -> DataFrame:
+    """Staging rows, landed once, with the row number all measure dimensions share."""
+    return assign_keys(staging, ROW_KEY, land_input=land_input)
+
+
+def keyed_measures(numbered: DataFrame, table: str, start: int | Column = 0) -> DataFrame:
+    """One measure dimension of numbered staging rows, its keys after ``start``."""
+    key, _ = MEASURE_DIMS[table]
+    first = F.lit(start) if isinstance(start, int) else start
+    return numbered.select(
+        (F.col(ROW_KEY) + first).cast("bigint").alias(key), *_measure_columns(table)
+    )
+
+
 def dimensions(
-    staging: DataFrame,
-    padded: bool = False,
-    starts: Mapping[str, int | Column] | None = None,
-    land_input: bool = True,
+    staging: DataFrame, padded: bool = False, land_input: bool = True
 ) -> dict[str, DataFrame]:
     """All six dimensions of one load.
 
@@ -51,17 +67,9 @@ def dimensions(
     numbered once and the five tables are projections of that. The date
     dimension reads the same landed rows.
     """
-    starts = starts or {}
-    numbered = assign_keys(staging, _ROW_KEY, land_input=land_input)
+    numbered = number_staging(staging, land_input)
     tables = {"datetime_dim": datetime_dim(numbered, padded)}
-    for table, (key, measures) in MEASURE_DIMS.items():
-        start = starts.get(table, 0)
-        first = F.lit(start) if isinstance(start, int) else start
-        tables[table] = numbered.select(
-            (F.col(_ROW_KEY) + first).cast("bigint").alias(key),
-            "code", "stock_date",
-            *(F.col(old).alias(new) for new, old in measures.items()),
-        )
+    tables.update({table: keyed_measures(numbered, table) for table in MEASURE_DIMS})
     return tables
 
 

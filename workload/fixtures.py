@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from quotemill.functions.messages import to_message
 from quotemill.operators import symbol_positions, symbol_shards
 from quotemill.schemas import QUOTE
-from quotemill.scratch import land
+from quotemill.scratch import land, scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -132,16 +132,17 @@ def messages_of(events: DataFrame) -> DataFrame:
 
 
 def message_stream(spark: SparkSession, sf_dir: str, broken: bool = False) -> DataFrame:
-    """The messages as a stream over the events file, shaped like a topic."""
-    schema = table(spark, sf_dir, "events").schema
-    # A pattern, because a stream cannot be based on the path of a single file.
-    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet")
+    """The messages as a stream over files, with the columns of a topic."""
+    events = table(spark, sf_dir, "events")
     if broken:
-        return messages_of(events)
-    quotes = quotes_of(events)
-    return quotes.select(
-        to_message(quotes.columns).alias("value"), F.to_timestamp("time").alias("timestamp")
-    )
+        messages = messages_of(events)
+    else:
+        quotes = quotes_of(events)
+        stamp = F.to_timestamp("time").alias("timestamp")
+        messages = quotes.select(to_message(quotes.columns).alias("value"), stamp)
+    path = scratch_path(spark, "topic")
+    land(messages, path=path)
+    return spark.readStream.schema(messages.schema).parquet(path)
 
 
 def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
