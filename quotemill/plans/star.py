@@ -93,12 +93,9 @@ def fact_table(staging: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def star_readback(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
-    """Staging rows rebuilt from the star; needs a unique date key (``padded``).
+    """Staging rows rebuilt from the star by its surrogate keys.
 
-    A fact row and its dimension rows agree on (code, stock_date) by
-    construction, so these columns join too. With
-    ``spark.sql.requireAllClusterKeysForCoPartition=false`` that one partitioning
-    serves all five measure joins; the keys alone shuffle the fact five times.
+    The date key must be unique, so the star has to be built with ``padded``.
     """
     dates = dims["datetime_dim"].withColumnRenamed("date_id", "dateKey")
     rows = fact.join(dates, "dateKey", "inner")
@@ -106,10 +103,9 @@ def star_readback(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
         if table in MEASURE_DIMS:
             _, measures = MEASURE_DIMS[table]
             dim = dims[table].select(
-                "code", "stock_date", F.col(key).alias(column),
-                *(F.col(new).alias(old) for new, old in measures.items()),
+                F.col(key).alias(column), *(F.col(new).alias(old) for new, old in measures.items())
             )
-            rows = rows.join(dim, ["code", "stock_date", column], "inner")
+            rows = rows.join(dim, column, "inner")
     renamed = {"year_col": "stock_year", "month_col": "stock_month", "day_col": "stock_day"}
     rebuilt = {"date_string": F.date_format("stock_date", "yyyy-MM-dd")}
     return rows.select(

@@ -54,6 +54,7 @@ def publish_messages(
     (
         encode_messages(df, key)
         .write.format(format)
+        .mode("append")
         .option("kafka.bootstrap.servers", servers)
         .option("topic", topic)
         .options(**(options or {}))

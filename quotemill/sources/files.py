@@ -7,8 +7,14 @@ from pyspark.sql import types as T
 
 from quotemill.schemas import QUOTE, STAGING, SYMBOLS
 
-# Quotes doubled inside a field, as spreadsheet and pandas writers do.
-CSV_OPTIONS = {"header": "true", "escape": '"'}
+# Quotes doubled inside a field, as spreadsheet and pandas writers do; blanks are
+# data. An empty field is NULL: CSV cannot tell it from an empty text.
+CSV_OPTIONS = {
+    "header": "true",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
