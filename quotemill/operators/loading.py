@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,13 +15,14 @@ BUSINESS_KEY = ("code", "stock_date")
 def rows_not_in(
     candidates: DataFrame, existing: DataFrame, business_key: Sequence[str] = BUSINESS_KEY
 ) -> DataFrame:
-    """Candidates whose business key is not loaded yet; NULL equals NULL."""
-    known = existing.select(*(F.col(c).alias(f"__{c}") for c in business_key)).distinct()
-    same = reduce(
-        lambda a, b: a & b,
-        [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in business_key],
-    )
-    return candidates.join(known, same, "left_anti")
+    """Candidates whose business key is not loaded yet; NULL equals NULL.
+
+    A struct compares NULL fields as equal, and distinct() and the join hash the
+    same column, so existing keys are reduced and shuffled once.
+    """
+    key = F.struct(*business_key).alias("__key")
+    known = existing.select(key).distinct()
+    return candidates.select("*", key).join(known, "__key", "left_anti").drop("__key")
 
 
 def append_new(

@@ -54,17 +54,43 @@ def fk_orphans(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
 def unmatched_quotes(staging: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     """Quotes that do not reach the fact table: (code, stock_date, time_update, reason).
 
-    One row per quote and dimension without a match. NULL keys match nothing;
-    they skip the joins, so they cannot gather in one task.
+    One row per quote and dimension without a match. The five measure
+    dimensions share their key, so one join answers for all of them. NULL keys
+    match nothing; they skip the joins, so they cannot gather in one task.
     """
     quote = staging.select("code", "stock_date", "time_update")
-    tables = ["datetime_dim", *MEASURE_DIMS]
-
-    def missing(table: str) -> DataFrame:
-        on = ["stock_date", "time_update"] if table == "datetime_dim" else ["code", "stock_date"]
-        has_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
-        keys = dims[table].select(*on).distinct()
-        unmatched = quote.where(~has_null).join(keys, on, "left_anti").select(*quote.columns)
-        return unmatched.unionByName(quote.where(has_null)).withColumn("reason", F.lit(table))
-
-    return reduce(DataFrame.unionByName, [missing(table) for table in tables])
+    no_measure_key = F.col("code").isNull() | F.col("stock_date").isNull()
+    no_date_key = F.col("stock_date").isNull() | F.col("time_update").isNull()
+    measures = F.array(*(F.lit(table) for table in MEASURE_DIMS))
+    no_reason = F.array().cast("array<string>")
+
+    keyless = quote.where(no_measure_key | no_date_key).select(
+        "*",
+        F.explode(
+            F.concat(
+                F.when(no_date_key, F.array(F.lit("datetime_dim"))).otherwise(no_reason),
+                F.when(no_measure_key, measures).otherwise(no_reason),
+            )
+        ).alias("reason"),
+    )
+    loaded = reduce(
+        DataFrame.unionByName,
+        [dims[t].select("code", "stock_date", F.lit(t).alias("__table")) for t in MEASURE_DIMS],
+    )
+    # At most five names per key, whatever the number of rows behind them.
+    present = loaded.groupBy("code", "stock_date").agg(F.collect_set("__table").alias("__in"))
+    without_measures = (
+        quote.where(~no_measure_key)
+        .join(present, ["code", "stock_date"], "left")
+        .select(
+            *quote.columns,
+            F.explode(F.array_except(measures, F.coalesce("__in", no_reason))).alias("reason"),
+        )
+    )
+    dates = dims["datetime_dim"].select("stock_date", "time_update").distinct()
+    without_date = (
+        quote.where(~no_date_key)
+        .join(dates, ["stock_date", "time_update"], "left_anti")
+        .select(*quote.columns, F.lit("datetime_dim").alias("reason"))
+    )
+    return keyless.unionByName(without_measures).unionByName(without_date)

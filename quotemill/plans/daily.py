@@ -73,13 +73,17 @@ def load_star(
     database: str = "default",
     dedupe: bool = True,
     padded: bool = False,
+    dates: tuple[str, str] | None = None,
 ) -> DataFrame:
     """Append one load to the six dimensions and the fact table; returns the fact table.
 
     The rows are numbered once for all measure dimensions. With ``dedupe`` rows
     already loaded are skipped, so a repeated load changes nothing; the numbers
-    of skipped rows stay unused. ``staging`` must be a table scan. One writer
-    per table: plain Parquet tables have no transactions.
+    of skipped rows stay unused. ``dates`` is the closed range of trading dates
+    in ``staging``: it lets the scans of the existing tables skip all other
+    dates, so a load costs what the load holds and not what was loaded before.
+    ``staging`` must be a table scan. One writer per table: plain Parquet tables
+    have no transactions.
     """
     tables = {
         name: create_if_absent(spark, f"{database}.{name}", schema)
@@ -87,11 +91,18 @@ def load_star(
         if name != "full_data"
     }
 
+    def in_range(table: DataFrame) -> DataFrame:
+        if dates is None:
+            return table
+        day = F.col("stock_date")
+        bounds = [F.lit(bound).cast("date") for bound in dates]
+        return table.where(day.isNull() | ((day >= bounds[0]) & (day <= bounds[1])))
+
     numbered = number_staging(staging, land_input=False)
 
     def load(table: str, rows: DataFrame, business_key: Sequence[str]) -> Callable[[], None]:
         def job() -> None:
-            fresh = rows_not_in(rows, tables[table], business_key) if dedupe else rows
+            fresh = rows_not_in(rows, in_range(tables[table]), business_key) if dedupe else rows
             append_table(fresh, f"{database}.{table}")
 
         return job
@@ -102,10 +113,20 @@ def load_star(
         jobs.append(load(table, rows, BUSINESS_KEY))
     _in_parallel(spark, jobs)
 
-    dims = {name: spark.table(f"{database}.{name}") for name in tables if name != "fact_table"}
+    dims = {
+        name: in_range(spark.table(f"{database}.{name}"))
+        for name in tables
+        if name != "fact_table"
+    }
     facts = fact_table(staging, dims)
     if dedupe:
-        facts = rows_not_in(facts, tables["fact_table"], FACT_KEY)
+        known = tables["fact_table"]
+        if dates is not None:
+            # One bounded row: the facts of these dates hold keys in this span only.
+            span = dims["price_dim"].agg(F.min("price_id").alias("a"), F.max("price_id").alias("b"))
+            first, last = span.first()
+            known = known.where(F.col("priceKey").between(first, last))
+        facts = rows_not_in(facts, known, FACT_KEY)
     return append_table(facts, f"{database}.fact_table")
 
 
@@ -123,4 +144,4 @@ def run_daily(
     """Responses of one load to the fact table, end to end."""
     quotes = day_quotes(responses, symbols, from_date, to_date)
     staging = load_staging(spark, quotes, run_date, database)
-    return load_star(spark, staging, database, dedupe, padded)
+    return load_star(spark, staging, database, dedupe, padded, (from_date, to_date))

@@ -36,7 +36,8 @@ def keyed_batch_writer(path: str, order: Sequence[str] = ("date", "code")) -> Ba
     """Write each batch to its own folder, with ids that continue over batches.
 
     A replayed batch overwrites its folder and gets the same ids, because ids
-    start after the highest id of earlier batches.
+    start after the highest id of earlier batches. The stream must be stateless:
+    its batches are plain reads of the same offsets and need no landing.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -46,7 +47,8 @@ def keyed_batch_writer(path: str, order: Sequence[str] = ("date", "code")) -> Ba
         if batch_id > 0:
             earlier = stream_table(batch.sparkSession, path).where(F.col("batch_id") < batch_id)
             start = last_key(earlier, "id")
-        assign_keys(rows, "id", order, start).write.mode("overwrite").parquet(target)
+        keyed = assign_keys(rows, "id", order, start, land_input=False)
+        keyed.write.mode("overwrite").parquet(target)
 
     return write
 

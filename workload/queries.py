@@ -297,8 +297,8 @@ def daily_load(spark, sf_dir):
     """Responses to star tables, the load run twice; the second run adds nothing."""
     database = _table_name("star")
     spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, 'star')}'")
-    responses = fx.clean_responses(spark, sf_dir)
-    symbols = fx.traded_symbols(spark, sf_dir)
+    responses = land(fx.clean_responses(spark, sf_dir), "responses")
+    symbols = land(fx.traded_symbols(spark, sf_dir), "symbols")
     for _ in range(2):
         fact = plans.run_daily(
             spark, responses, symbols, "2024-01-01", "2024-01-31", database=database
