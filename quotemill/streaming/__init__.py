@@ -2,17 +2,19 @@ from quotemill.streaming.backfill import backfill, backfill_messages
 from quotemill.streaming.decode import decode_quotes, split_malformed
 from quotemill.streaming.sink import (
     all_of,
+    jdbc_batch_writer,
     keyed_batch_writer,
     plain_batch_writer,
     read_batches,
     run_to_end,
     start_batches,
     start_console,
+    start_quote_stream,
     stream_table,
 )
 
 __all__ = [
-    "all_of", "backfill", "backfill_messages", "decode_quotes", "keyed_batch_writer",
-    "plain_batch_writer", "read_batches", "run_to_end", "split_malformed", "start_batches", "start_console",
-    "stream_table",
+    "all_of", "backfill", "backfill_messages", "decode_quotes", "jdbc_batch_writer",
+    "keyed_batch_writer", "plain_batch_writer", "read_batches", "run_to_end", "split_malformed",
+    "start_batches", "start_console", "start_quote_stream", "stream_table",
 ]

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from quotemill.operators.numbering import assign_keys, last_key
+from quotemill.operators.numbering import assign_keys
 from quotemill.schemas import STREAM_RENAMES, stream_table_schema
+from quotemill.sinks.remote import jdbc_append
+from quotemill.streaming.decode import decode_quotes
 
 BatchFunction = Callable[[DataFrame, int], None]
 
@@ -32,23 +34,43 @@ def stream_table(spark: SparkSession, path: str) -> DataFrame:
     return read_batches(spark, path, stream_table_schema())
 
 
+def _last_id_folder(path: str, batch_id: int) -> str:
+    # A leading underscore hides the folder from readers of the table.
+    return f"{path}/_last_id/batch_id={batch_id}"
+
+
 def keyed_batch_writer(path: str, order: Sequence[str] = ("date", "code")) -> BatchFunction:
     """Write each batch to its own folder, with ids that continue over batches.
 
-    A replayed batch overwrites its folder and gets the same ids, because ids
-    start after the highest id of earlier batches. The stream must be stateless:
-    its batches are plain reads of the same offsets and need no landing.
+    Beside its rows a batch leaves its last id, so the next one reads a single
+    row and not the table. A replayed batch overwrites its folder and gets the
+    same ids. The stream must be stateless: its batches are plain reads of the
+    same offsets and need no landing.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        target = batch_folder(path, batch_id)
-        rows = batch.withColumnsRenamed(STREAM_RENAMES)
-        start: int | Column = 0
+        spark = batch.sparkSession
+        start = F.lit(0).cast("bigint")
         if batch_id > 0:
-            earlier = stream_table(batch.sparkSession, path).where(F.col("batch_id") < batch_id)
-            start = last_key(earlier, "id")
+            start = spark.read.parquet(_last_id_folder(path, batch_id - 1)).scalar()
+        rows = batch.withColumnsRenamed(STREAM_RENAMES)
         keyed = assign_keys(rows, "id", order, start, land_input=False)
+        target = batch_folder(path, batch_id)
         keyed.write.mode("overwrite").parquet(target)
+        written = spark.read.schema(keyed.schema).parquet(target)
+        last = written.agg(F.max("id").alias("last")).select(
+            F.coalesce("last", start).alias("last_id")
+        )
+        last.write.mode("overwrite").parquet(_last_id_folder(path, batch_id))
+
+    return write
+
+
+def jdbc_batch_writer(table: str, options: Mapping[str, str], partitions: int = 8) -> BatchFunction:
+    """Append each batch to a database table; a replayed batch is appended again."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        jdbc_append(batch.withColumnsRenamed(STREAM_RENAMES), table, options, partitions)
 
     return write
 
@@ -105,6 +127,20 @@ def start_console(
     return writer.format("console").option("truncate", "false").start()
 
 
+def start_quote_stream(
+    messages: DataFrame, path: str, checkpoint: str, echo: bool = False, once: bool = False
+) -> list[StreamingQuery]:
+    """Messages to the keyed stream table, and to the console with ``echo``.
+
+    Two sinks are two queries, each with its own checkpoint under ``checkpoint``.
+    """
+    quotes = decode_quotes(messages)
+    queries = [start_batches(quotes, keyed_batch_writer(path), f"{checkpoint}/table", once)]
+    if echo:
+        queries.append(start_console(quotes, f"{checkpoint}/console", once))
+    return queries
+
+
 def run_to_end(query: StreamingQuery, timeout: int) -> None:
     """Wait for a ``once`` query; fail when it does not end in ``timeout`` seconds."""
     if not query.awaitTermination(timeout):

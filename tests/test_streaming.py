@@ -99,19 +99,33 @@ def test_restart_reads_only_new_messages(spark):
     assert sorted((r.batch_id, r.code) for r in got.collect()) == [(0, "A"), (1, "B"), (1, "C")]
 
 
-def test_two_queries_on_one_stream(spark, capfd):
+def test_two_queries_on_one_stream(spark):
     source, target = scratch_path(spark, "in"), scratch_path(spark, "out")
     put(spark, source, [message("A")])
-    decoded = streaming.decode_quotes(stream(spark, source))
-    stored = streaming.start_batches(
-        decoded, streaming.keyed_batch_writer(target), scratch_path(spark, "c1"), once=True, name="stored"
+    queries = streaming.start_quote_stream(
+        stream(spark, source), target, scratch_path(spark, "checkpoint"), echo=True, once=True
     )
-    echoed = streaming.start_console(decoded, scratch_path(spark, "c2"), once=True)
-    for query in (stored, echoed):
+    assert len(queries) == 2
+    for query in queries:
         streaming.run_to_end(query, TIMEOUT)
     assert streaming.stream_table(spark, target).count() == 1
 
 
+def test_empty_batch_keeps_the_last_id(spark):
+    target = scratch_path(spark, "out")
+    write = streaming.keyed_batch_writer(target)
+    for batch_id, codes in enumerate((["A", "B"], [], ["C"])):
+        write(streaming.decode_quotes(batch(spark, [message(c) for c in codes])), batch_id)
+    got = streaming.stream_table(spark, target).collect()
+    assert sorted((r.id, r.code) for r in got) == [(1, "A"), (2, "B"), (3, "C")]
+
+
+def test_jdbc_sink_needs_its_driver(spark):
+    write = streaming.jdbc_batch_writer("t", {"url": "jdbc:unknown://h/d", "driver": "no.such.Driver"})
+    with pytest.raises(Exception, match="no.such.Driver"):
+        write(streaming.decode_quotes(batch(spark, [message("A")])), 0)
+
+
 def test_all_of_writes_every_sink(spark):
     one, two = scratch_path(spark, "one"), scratch_path(spark, "two")
     write = streaming.all_of(streaming.plain_batch_writer(one), streaming.plain_batch_writer(two))

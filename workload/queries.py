@@ -438,9 +438,10 @@ def stream_readable(spark, sf_dir):
 
 
 def stream_foreachbatch(spark, sf_dir):
-    decoded = streaming.decode_quotes(fx.message_stream(spark, sf_dir))
-    path = scratch_path(spark, "stream_table")
-    _drain(spark, decoded, streaming.keyed_batch_writer(path))
+    path, checkpoint = scratch_path(spark, "stream_table"), scratch_path(spark, "checkpoint")
+    messages = fx.message_stream(spark, sf_dir)
+    for query in streaming.start_quote_stream(messages, path, checkpoint, once=True):
+        streaming.run_to_end(query, STREAM_TIMEOUT)
     return _as_quotes(streaming.stream_table(spark, path)).drop("batch_id")
 
 
