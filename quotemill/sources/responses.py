@@ -55,6 +55,6 @@ def company_records(
         found = responses.agg(
             F.schema_of_variant_agg(F.try_parse_json(payload)).alias("found")
         ).first()["found"]
-        envelope = T._parse_datatype_string(found.replace("OBJECT<", "STRUCT<"))
+        envelope = T.DataType.fromDDL(found.replace("OBJECT<", "STRUCT<"))
         schema = envelope[field].dataType.elementType
     return envelope_explode(responses, payload, field, schema)
