@@ -80,13 +80,19 @@ def load_star(
     The rows are numbered once for all measure dimensions. With ``dedupe`` rows
     already loaded are skipped, so a repeated load changes nothing; the numbers
     of skipped rows stay unused. ``dates`` is the closed range of trading dates
-    in ``staging``: it lets the scans of the existing tables skip all other
-    dates, so a load costs what the load holds and not what was loaded before.
+    in ``staging``: dimension tables are partitioned by trading date, so their
+    scans skip all other dates and a load costs what it holds, not what was
+    loaded before.
     ``staging`` must be a table scan. One writer per table: plain Parquet tables
     have no transactions.
     """
     tables = {
-        name: create_if_absent(spark, f"{database}.{name}", schema)
+        name: create_if_absent(
+            spark,
+            f"{database}.{name}",
+            schema,
+            partition_by=["stock_date"] if "stock_date" in schema.fieldNames() else [],
+        )
         for name, schema in star_schemas().items()
         if name != "full_data"
     }
@@ -140,8 +146,13 @@ def run_daily(
     database: str = "default",
     dedupe: bool = True,
     padded: bool = False,
+    first_by: Sequence[str] = ("code",),
 ) -> DataFrame:
-    """Responses of one load to the fact table, end to end."""
-    quotes = day_quotes(responses, symbols, from_date, to_date)
+    """Responses of one load to the fact table, end to end.
+
+    One record per symbol is kept; ``first_by=("code", "date")`` keeps one per
+    symbol and date, for a load of many dates.
+    """
+    quotes = day_quotes(responses, symbols, from_date, to_date, first_by=first_by)
     staging = load_staging(spark, quotes, run_date, database)
     return load_star(spark, staging, database, dedupe, padded, (from_date, to_date))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -45,9 +46,17 @@ def create_if_absent(
 
 
 def append_table(df: DataFrame, table: str) -> DataFrame:
-    """Append by column name; ``insertInto`` itself goes by position."""
+    """Append by column name; ``insertInto`` itself goes by position.
+
+    Rows for a partitioned table are rebalanced first: small partitions share a
+    task, a hot one is split over several, and no task writes a file per value.
+    """
     spark = df.sparkSession
-    df.select(*spark.table(table).columns).write.insertInto(table)
+    rows = df.select(*spark.table(table).columns)
+    partitions = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    if partitions:
+        rows = rows.hint("rebalance", *(F.col(c) for c in partitions))
+    rows.write.insertInto(table)
     return spark.table(table)
 
 

@@ -145,6 +145,34 @@ def test_daily_load_and_reload(spark, database):
         assert op.pk_violations(dims[name], key).isEmpty()
 
 
+def test_load_of_many_dates(spark, database):
+    codes = ["A", "B", "C"]
+    responses = [response(c, 4) for c in codes]
+    fact = run(spark, database, responses, codes, first_by=("code", "date"))
+    assert fact.count() == 12
+    keys = [r.price_id for r in spark.table(f"{database}.price_dim").collect()]
+    assert sorted(keys) == list(range(1, 13))
+
+
+def test_existing_dates_are_pruned(spark, database):
+    codes = ["A", "B", "C"]
+    run(spark, database, [response(c, 3) for c in codes], codes, first_by=("code", "date"))
+    dim = spark.table(f"{database}.price_dim").where(F.col("stock_date") == "2024-01-03")
+    text = plan(dim)
+    assert "PartitionFilters: [isnotnull(stock_date" in text
+    assert len(spark.table(f"{database}.price_dim").inputFiles()) > len(dim.inputFiles())
+
+
+def test_null_date_survives_a_reload(spark, database):
+    base = plans.blank_staging(spark)
+    row = spark.createDataFrame([("A", None, "X")], "code string, stock_date date, floor string")
+    staging = land(base.unionByName(row, allowMissingColumns=True))
+    for _ in range(2):
+        plans.load_star(spark, staging, database, dates=("2024-01-01", "2024-01-31"))
+    got = counts(spark, database)
+    assert got["price_dim"] == 1 and got["datetime_dim"] == 1 and got["fact_table"] == 0
+
+
 def test_reload_without_dedupe_multiplies(spark, database):
     codes = ["A", "B", "C"]
     responses = [response(c, 1) for c in codes]
