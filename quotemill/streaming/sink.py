@@ -44,8 +44,8 @@ def keyed_batch_writer(path: str, order: Sequence[str] = ("date", "code")) -> Ba
 
     Beside its rows a batch leaves its last id, so the next one reads a single
     row and not the table. A replayed batch overwrites its folder and gets the
-    same ids. The stream must be stateless: its batches are plain reads of the
-    same offsets and need no landing.
+    same ids. The batch is landed before it is numbered: its messages are
+    decoded once.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -54,7 +54,7 @@ def keyed_batch_writer(path: str, order: Sequence[str] = ("date", "code")) -> Ba
         if batch_id > 0:
             start = spark.read.parquet(_last_id_folder(path, batch_id - 1)).scalar()
         rows = batch.withColumnsRenamed(STREAM_RENAMES)
-        keyed = assign_keys(rows, "id", order, start, land_input=False)
+        keyed = assign_keys(rows, "id", order, start)
         target = batch_folder(path, batch_id)
         keyed.write.mode("overwrite").parquet(target)
         written = spark.read.schema(keyed.schema).parquet(target)
