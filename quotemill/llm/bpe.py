@@ -18,6 +18,7 @@ import re
 from collections import deque
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
@@ -317,10 +318,13 @@ def encode_documents(docs: DataFrame, tokenizer: str) -> DataFrame:
     def make(batch: pa.RecordBatch) -> dict:
         coder = encoder(tokenizer)
         ids, decoded = zip(*coder.encode(texts_of(batch.column(1))))
+        n = np.array([count_ids(x) for x in ids], dtype=np.int64)
+        flat = " ".join(filter(None, ids))
+        values = np.array(flat.split(), dtype="U8").astype(np.int32) if flat else np.zeros(0, np.int32)
+        offsets = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
         return {
-            "doc_id": batch.column(0), "n_tokens": pa.array(map(count_ids, ids), pa.int64()),
-            "ids": pa.array(([int(i) for i in x.split()] for x in ids), pa.list_(pa.int32())),
-            "decoded": pa.array(decoded),
+            "doc_id": batch.column(0), "n_tokens": n,
+            "ids": pa.ListArray.from_arrays(offsets, values), "decoded": pa.array(decoded),
         }
 
     chosen = docs.select(docs["doc_id"].cast("long"), "text")

@@ -64,90 +64,115 @@ def targets(
     return opened.select("source", "source_size", target.alias("target"))
 
 
-def mix(
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.withColumns({
+        "_id": docs["doc_id"].cast("long"), "_key": row_key(), "_source": F.col("source"), "_size": n_words(F.col("text")),
+    })
+
+
+def _drawn(rows: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
+    """``rows`` with their source's line of ``plan``, their rank and its two bins.
+
+    The rank is Pareto's, odds of the draw over odds of inclusion, as a number in (0, 1).
+    """
+    draw = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), "_id", "_key", "_source"), 11) + 0.5) / float(1 << 53)
+    odds = draw / (1 - draw) * (1 - F.col("chance")) / F.col("chance")
+    cell = F.col("_rank") * BINS
+    return (
+        rows.join(plan, rows["_source"].eqNullSafe(plan["source_of_plan"])).drop("source_of_plan")
+        .withColumn("_rank", F.when((F.col("chance") > 0) & (F.col("_size") > 0), odds / (1 + odds)))
+        .withColumn("_bin", F.floor(cell).cast("int"))
+        .withColumn("_sub", F.floor((cell - F.floor(cell)) * BINS).cast("int"))
+    )
+
+
+def cut_points(
     docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share_pct: int = SHARE_PCT,
-    max_copies: int = MAX_COPIES, seed: int = SEED, land_input: bool = True,
+    max_copies: int = MAX_COPIES, seed: int = SEED,
 ) -> DataFrame:
-    """doc_id, text key, source, size, source_size, target, copies and taken words of every row.
-
-    A row's draw is a hash of its doc_id, text and source: a rerun takes the same rows.
-    Rows that are equal in all three draw alike and stand next to each other in the
-    ranking. A null text has no words and is never needed to reach a target; the null source
-    is a source. Extra columns are ignored. An empty table gives no rows.
+    """One row per source: certain copies, and how far down its ranking the sample reaches.
 
-    The cut of a source's ranking is found by counting words per bin of the rank, then per
-    bin within the bin that holds the cut; only rows in that small bin are ordered.
+    The cut is found by adding up words per bin of the rank, then per bin within the bin that
+    holds the cut; only the rows in that small bin are ordered.
     """
-    base = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "source", n_words(F.col("text")).alias("size"), row_key().alias("text_key"))
-    base = land(base, "mix") if land_input else base
-    sizes = base.groupBy("source").agg(F.sum("size").alias("source_size"))
+    base = land(_keyed(docs).select("_id", "_key", "_source", "_size"), "mix")
+    sizes = base.groupBy(F.col("_source").alias("source")).agg(F.sum("_size").alias("source_size"))
     goals = land(targets(sizes, weights, share_pct, max_copies), "targets")
-
     copies = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     whole = F.least(F.floor(copies), F.lit(max_copies)).cast("long")
     plan = goals.select(
-        "source", "source_size", "target", whole.alias("whole"), (copies - whole).alias("chance"),
+        F.col("source").alias("source_of_plan"), "source_size", "target", whole.alias("whole"),
+        (copies - whole).alias("chance"),
         F.round(F.col("target") - whole * F.col("source_size")).cast("long").alias("lack"),
     )
-    # Pareto rank: odds of the draw over odds of inclusion, as a number in (0, 1).
-    draw = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", "text_key", "source"), 11) + 0.5) / float(1 << 53)
-    odds = draw / (1 - draw) * (1 - F.col("chance")) / F.col("chance")
-    cell = F.col("rank") * BINS
-    drawn = (
-        base.join(plan, base["source"].eqNullSafe(plan["source"])).drop(plan["source"])
-        .withColumn("rank", F.when((F.col("chance") > 0) & (F.col("size") > 0), odds / (1 + odds)))
-        .withColumn("bin", F.floor(cell).cast("int"))
-        .withColumn("sub", F.floor((cell - F.floor(cell)) * BINS).cast("int"))
-    )
-
-    first = _cut(drawn.where("bin is not null").groupBy("source", "bin").agg(F.sum("size").alias("words"), F.max("lack").alias("lack")), [], "bin")
-    inside = drawn.join(first, drawn["source"].eqNullSafe(first["source"])).drop(first["source"])
-    at_cut = inside.where(F.col("bin") == F.col("cut_bin"))
-    second = _cut(
-        at_cut.groupBy("source", "sub").agg(F.sum("size").alias("words"), (F.max("lack") - F.max("words_before_bin")).alias("lack")),
-        [], "sub",
-    )
-    order = Window.partitionBy("source").orderBy("rank", "doc_id", "text_key")
-    edge = at_cut.join(second, at_cut["source"].eqNullSafe(second["source"])).drop(second["source"])
-    edge = edge.where(F.col("sub") == F.col("cut_sub")).select(
-        "source", "rank", "doc_id", "text_key", "size",
-        (F.col("lack") - F.col("words_before_bin") - F.col("words_before_sub")).alias("rest"),
-        (F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")).alias("before"),
+    drawn = _drawn(base, plan, seed).where("_bin is not null")
+    first = _cut(drawn.groupBy("_source", "_bin").agg(F.sum("_size").alias("words"), F.max("lack").alias("lack")), "_bin")
+    at_cut = _with(drawn, first).where(F.col("_bin") == F.col("cut_bin"))
+    rest = F.col("lack") - F.col("words_before_bin")
+    inner = at_cut.groupBy("_source", "_sub").agg(F.sum("_size").alias("words"), F.max(rest).alias("lack"))
+    second = _cut(inner, "_sub")
+    edge = _with(at_cut, second).where(F.col("_sub") == F.col("cut_sub"))
+    here = F.struct("_rank", "_id", "_key")
+    order = Window.partitionBy("_source").orderBy("_rank", "_id", "_key").rowsBetween(Window.unboundedPreceding, -1)
+    edge = edge.select(
+        "_source", "_size", here.alias("here"), (rest - F.col("words_before_sub")).alias("rest"),
+        F.coalesce(F.sum("_size").over(order), F.lit(0)).alias("before"),
     )
     # A document is taken while that brings the words nearer to what the source lacks.
-    last = edge.where(2 * F.col("before") + F.col("size") <= 2 * F.col("rest"))
-    last = last.groupBy("source").agg(F.max(F.struct("rank", "doc_id", "text_key")).alias("last"))
-
-    ends = plan.alias("p")
-    ends = _left(plan, first.select("source", "cut_bin"))
-    ends = _left(ends, second.select("source", "cut_sub"))
-    ends = _left(ends, last)
-    marked = (
-        base.join(ends, base["source"].eqNullSafe(ends["source"])).drop(ends["source"])
-        .withColumn("rank", F.when((F.col("chance") > 0) & (F.col("size") > 0), odds / (1 + odds)))
-        .withColumn("bin", F.floor(cell).cast("int"))
-        .withColumn("sub", F.floor((cell - F.floor(cell)) * BINS).cast("int"))
-    )
-    here = F.struct("rank", "doc_id", "text_key")
-    chosen = (F.col("bin") < F.col("cut_bin")) | (
-        (F.col("bin") == F.col("cut_bin"))
-        & ((F.col("sub") < F.col("cut_sub")) | ((F.col("sub") == F.col("cut_sub")) & (here <= F.col("last"))))
+    near = edge.where(2 * F.col("before") + F.col("_size") <= 2 * F.col("rest"))
+    last = near.groupBy("_source").agg(F.max("here").alias("last"))
+    named = plan.withColumn("_source", F.col("source_of_plan"))
+    for more in (first.drop("words_before_bin"), second.drop("words_before_sub"), last):
+        named = _with(named, more, "left")
+    return land(named.drop("_source"), "cuts")
+
+
+def _copies(docs: DataFrame, cuts: DataFrame, seed: int) -> DataFrame:
+    """All rows with ``_copies``. The cuts have one row per source; Spark broadcasts them if small."""
+    here = F.struct("_rank", "_id", "_key")
+    chosen = (F.col("_bin") < F.col("cut_bin")) | (
+        (F.col("_bin") == F.col("cut_bin"))
+        & ((F.col("_sub") < F.col("cut_sub")) | ((F.col("_sub") == F.col("cut_sub")) & (here <= F.col("last"))))
     )
-    n = F.col("whole") + F.coalesce(chosen, F.lit(False)).cast("long")
-    return marked.select(
-        "doc_id", "text_key", "source", "size", "source_size", "target",
-        n.alias("copies"), (n * F.col("size")).alias("taken"),
+    extra = F.coalesce(chosen, F.lit(False)).cast("long")
+    return _drawn(_keyed(docs), cuts, seed).withColumn("_copies", F.col("whole") + extra)
+
+
+def mix(
+    docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share_pct: int = SHARE_PCT,
+    max_copies: int = MAX_COPIES, seed: int = SEED,
+) -> DataFrame:
+    """doc_id, source, size, source_size, target, copies and taken words of every row.
+
+    A row's draw is a hash of its doc_id, text and source, so a rerun takes the same rows; rows
+    equal in all three draw alike and are taken alike. A null text has no words and is never
+    needed to reach a target; the null source is a source. Extra columns are ignored. An empty
+    table gives no rows.
+    """
+    mixed = _copies(docs, cut_points(docs, weights, share_pct, max_copies, seed), seed)
+    return mixed.select(
+        F.col("_id").alias("doc_id"), F.col("_source").alias("source"), F.col("_size").alias("size"), "source_size",
+        "target", F.col("_copies").alias("copies"), (F.col("_copies") * F.col("_size")).alias("taken"),
     )
 
 
-def _left(left: DataFrame, right: DataFrame) -> DataFrame:
-    return left.join(right, left["source"].eqNullSafe(right["source"]), "left").drop(right["source"])
+def mixed_documents(docs: DataFrame, seed: int = SEED, **options) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it."""
+    mixed = _copies(docs.select("*"), cut_points(docs, seed=seed, **options), seed)
+    times = F.explode(F.sequence(F.lit(1), F.col("_copies")))
+    return mixed.where(F.col("_copies") > 0).select(*(F.col(f"`{c}`") for c in docs.columns), times.alias("_")).drop("_")
 
 
-def _cut(bins: DataFrame, _: list, name: str) -> DataFrame:
+def _with(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
+    return left.join(right, left["_source"].eqNullSafe(right["_source"]), how).drop(right["_source"])
+
+
+def _cut(bins: DataFrame, name: str) -> DataFrame:
     """Per source the last bin that the lacking words reach into, and the words before it."""
-    order = Window.partitionBy("source").orderBy(name).rowsBetween(Window.unboundedPreceding, -1)
+    order = Window.partitionBy("_source").orderBy(name).rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("words").over(order), F.lit(0))
     reached = bins.withColumn("before", before).where(F.col("before") < F.col("lack"))
-    last = reached.groupBy("source").agg(F.max(F.struct(F.col(name), F.col("before"))).alias("m"))
-    return last.select("source", F.col("m")[name].alias(f"cut_{name}"), F.col("m")["before"].alias(f"words_before_{name}"))
+    last = reached.groupBy("_source").agg(F.max(F.struct(F.col(name), F.col("before"))).alias("m"))
+    return last.select(
+        "_source", F.col("m")[name].alias(f"cut{name}"), F.col("m")["before"].alias(f"words_before{name}")
+    )

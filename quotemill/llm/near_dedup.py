@@ -246,3 +246,24 @@ def near_duplicates(docs: DataFrame, percent: int = 85, n: int = SHINGLE) -> Dat
         "doc_id", "text_key", "n_shingles", "component_id",
         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
     )
+
+
+def keep_one(docs: DataFrame, percent: int = 85, n: int = SHINGLE) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: one document of each group stays, as it is.
+
+    Of repeated rows of that document one stays; texts without words are all kept. A bitmap of
+    fixed size over the rows that go keeps nearly all others out of the shuffle.
+    """
+    found = near_duplicates(docs, percent, n).groupBy("doc_id", "text_key").agg(
+        F.bool_or("kept").alias("_kept"), (F.count("*") > 1).alias("_again"), F.max("n_shingles").alias("_n")
+    )
+    odd = land(found.where(~F.col("_kept") | (F.col("_again") & (F.col("_n") > 0))), "odd")
+    keyed = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_key": row_key()})
+    here = F.struct(F.col("_id").alias("doc_id"), F.col("_key").alias("text_key"))
+    bitmap = land(id_bitmap(F.struct("doc_id", "text_key"), odd), "bitmap").scalar()
+    maybe = in_bitmap(here, bitmap)
+    same = F.col("_id").eqNullSafe(F.col("o.doc_id")) & (F.col("_key") == F.col("o.text_key"))
+    touched = keyed.where(maybe).join(odd.alias("o"), same, "left").where("o._kept is null or o._kept")
+    columns = [keyed[c] for c in docs.columns]
+    once = touched.where("o._kept").dropDuplicates(["_id", "_key"]).select(*columns)
+    return keyed.where(~maybe).select(*docs.columns).unionByName(touched.where("o._kept is null").select(*columns)).unionByName(once)

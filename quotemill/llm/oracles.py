@@ -48,7 +48,7 @@ WITH base AS (
   ) s WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY doc_id
 ), figures AS (
   SELECT doc_id, text, words, CAST(len(words) AS BIGINT) AS n_words,
-    CAST(coalesce(list_sum(list_transform(words, x -> length(x))), 0) AS BIGINT) AS word_chars,
+    CAST(coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
     CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
     coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_lines, 0) AS n_lines,
     coalesce(n_repeat_words, 0) AS n_repeat_words
@@ -59,7 +59,7 @@ WITH base AS (
     OR word_chars < 2 * n_words OR word_chars > 15 * n_words
     OR 10 * n_dup_lines > 3 * n_lines
     OR 100 * len(regexp_extract_all(text, '[0-9]')) > 30 * word_chars
-    OR 100 * len(list_filter(words, x -> NOT regexp_matches(x, '[A-Za-z\x{80}-\x{10FFFF}]'))) > 20 * n_words
+    OR 100 * len(list_filter(words, lambda x: NOT regexp_matches(x, '[A-Za-z\x{80}-\x{10FFFF}]'))) > 20 * n_words
     AS rejected
   FROM figures
 )

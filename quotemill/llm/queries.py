@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quotemill.llm import (
-    bpe, mixing, near_dedup, neighbours, quality, sentence_spans, token_output, toxicity, url_filter,
+    bpe, mixing, near_dedup, neighbours, quality, sentence_spans, suffix_dedup, token_output, toxicity, url_filter,
 )
 from quotemill.llm.shared import read, ship
 
@@ -36,6 +36,10 @@ def op2_near_dedup(spark, sf_dir):
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op3_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.digests(_table(spark, sf_dir, "documents"))
+
+
 def op4_mixing(spark, sf_dir):
     mixed = mixing.mix(_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -68,7 +72,7 @@ def op10_quality(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op1_url_filter, op2_near_dedup, op4_mixing, op5_neighbours, op6_bpe,
+        op1_url_filter, op2_near_dedup, op3_suffix_dedup, op4_mixing, op5_neighbours, op6_bpe,
         op7_sentence_spans, op8_toxicity, op9_token_output, op10_quality,
     )
 }
