@@ -20,15 +20,16 @@ from pyspark.sql.window import Window
 
 from quotemill.llm.components import components
 from quotemill.llm.shared import (
-    MIX, as_binary, id_bitmap, in_bitmap, land, map_batches, parts, row_key, texts_of, word_hashes,
+    MIX, id_bitmap, in_bitmap, land, map_batches, parts, row_key, texts_of, word_hashes,
 )
 
 SHINGLE = 5
 #: A pair at 85 % agrees on a band with probability 0.444; all 25 bands miss it once in 2,300,000.
 BANDS, ROWS = 25, 5
 SEED = 7
-#: Minima that may differ between texts that are as similar as asked: five standard deviations.
-DEVIATIONS = 5
+#: Minima of a signature. Those of texts as similar as asked agree in a share that a threshold
+#: of so many standard deviations below the expected one misses once in 300,000.
+MINIMA, DEVIATIONS = 200, 4.5
 
 
 def shingles(texts: list[bytes], n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -86,7 +87,7 @@ def _sets(texts: list[bytes], n: int) -> tuple[list[bytes], np.ndarray, np.ndarr
     return [xxhash.xxh3_128_digest(x[a:b].tobytes()) for a, b in zip(starts, ends)], x, ends
 
 
-def prints(docs: DataFrame, n: int = SHINGLE, n_hashes: int = BANDS * ROWS) -> DataFrame:
+def prints(docs: DataFrame, n: int = SHINGLE, n_hashes: int = MINIMA) -> DataFrame:
     """doc_id, text key, n_shingles, class and signature of every row."""
     keyed = docs.select(docs["doc_id"].cast("long").alias("doc_id"), row_key().alias("text_key"), "text")
 
@@ -100,22 +101,29 @@ def prints(docs: DataFrame, n: int = SHINGLE, n_hashes: int = BANDS * ROWS) -> D
             "doc_id": batch.column(0), "text_key": batch.column(1),
             "n_shingles": np.concatenate(sizes).astype(np.int64),
             "class": pa.array([k for ks in keys for k in ks], pa.binary()),
-            "signature": as_binary(np.concatenate(minima)),
+            "signature": pa.ListArray.from_arrays(
+                np.arange(batch.num_rows + 1, dtype=np.int32) * n_hashes, np.concatenate(minima).view(np.int32).ravel()
+            ),
         }
 
-    schema = "doc_id long, text_key long, n_shingles long, class binary, signature binary"
+    schema = "doc_id long, text_key long, n_shingles long, class binary, signature array<int>"
     return map_batches(keyed, schema, make)
 
 
 def buckets(classes: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(bucket, class, n_shingles) for buckets of at least two classes."""
-    width = 4 * rows
+    """(bucket, class, n_shingles, weight) for buckets of at least two classes.
+
+    ``weight`` is how many classes a class meets in all its buckets: the text that
+    the others are variants of meets most.
+    """
     bucket = F.explode(
-        F.array(*(F.xxhash64(F.lit(i), F.substring("signature", i * width + 1, width)) for i in range(bands)))
+        F.array(*(F.xxhash64(F.lit(i), F.slice("signature", i * rows + 1, rows)) for i in range(bands)))
     )
     members = classes.select(bucket.alias("bucket"), "class", "n_shingles")
-    shared = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    return members.join(shared, "bucket")
+    shared = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    met = land(members.join(shared, "bucket"), "met")
+    weight = met.groupBy("class").agg(F.sum("n").alias("weight"))
+    return met.drop("n").join(weight, "class")
 
 
 def _close(a: Column, b: Column, percent: int) -> Column:
@@ -123,28 +131,12 @@ def _close(a: Column, b: Column, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def agreeing(pairs: DataFrame, classes: DataFrame, percent: int, n_hashes: int = BANDS * ROWS) -> DataFrame:
-    """Signature verification: pairs whose minima agree as often as the similarity makes likely."""
+def _agree(a: Column, b: Column, percent: int, n_hashes: int = MINIMA) -> Column:
+    """Signature verification: minima agree as often as the similarity makes likely."""
     s = percent / 100
     least = n_hashes * s - DEVIATIONS * (n_hashes * s * (1 - s)) ** 0.5
-    side = classes.select("class", "signature")
-    both = (
-        pairs.join(side.select(F.col("class").alias("u"), F.col("signature").alias("su")), "u")
-        .join(side.select(F.col("class").alias("v"), F.col("signature").alias("sv")), "v")
-        .select("u", "v", "su", "sv")
-    )
-
-    def keep(batches):
-        for batch in batches:
-            if batch.num_rows:
-                su, sv = (
-                    np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype=np.uint32).reshape(batch.num_rows, -1)
-                    for i in (2, 3)
-                )
-                good = (su == sv).sum(axis=1) >= least
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["u", "v"]).filter(pa.array(good))
-
-    return both.mapInArrow(keep, "u binary, v binary")
+    same = F.zip_with(a, b, lambda x, y: (x == y).cast("int"))
+    return F.aggregate(same, F.lit(0), lambda total, x: total + x) >= least
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: int, n: int = SHINGLE) -> DataFrame:
@@ -192,30 +184,38 @@ def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: in
 def links(docs: DataFrame, classes: DataFrame, percent: int, n: int = SHINGLE) -> DataFrame:
     """(class, component): the smallest class of the component, for classes with a link."""
     members = land(buckets(classes), "buckets")
-    found = None
-    joined = None
+    columns = members.columns
+    signature = classes.select("class", "signature")
+    found = joined = None
     n_hubs = 1
     while True:
-        placed = members if joined is None else members.join(joined, "class", "left")
-        placed = placed.withColumn("place", F.coalesce("component", "class") if joined is not None else F.col("class"))
-        split = placed.groupBy("bucket").agg(F.min("place").alias("low"), F.max("place").alias("high")).where("low <> high").select("bucket")
-        placed = land(placed.select("bucket", "class", "n_shingles", "place").join(split, "bucket"), "placed")
+        if joined is None:
+            placed = members.withColumn("place", F.col("class"))
+        else:
+            placed = members.join(joined, "class", "left").withColumn("place", F.coalesce("component", "class"))
+        split = placed.groupBy("bucket").agg(F.min("place").alias("low"), F.max("place").alias("high"))
+        split = split.where("low <> high").select("bucket")
+        placed = land(placed.join(split, "bucket").select(*columns, "place"), "placed")
         if placed.isEmpty():
             break
-        rank = F.row_number().over(Window.partitionBy("bucket").orderBy("class"))
+        rank = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("weight"), "class"))
         hubs = land(placed.withColumn("hub", rank).where(F.col("hub") <= n_hubs), "hubs")
-        hub = hubs.select("bucket", F.col("class").alias("u"), F.col("n_shingles").alias("nu"), F.col("place").alias("pu"))
-        pairs = (
-            placed.join(hub, "bucket")
-            .where((F.col("place") != F.col("pu")) & (F.col("class") > F.col("u")) & _close(F.col("n_shingles"), F.col("nu"), percent))
-            .select("u", F.col("class").alias("v")).distinct()
+        ranked = placed.join(hubs.select("bucket", "class", "hub"), ["bucket", "class"], "left").join(signature, "class")
+        hub = hubs.join(signature, "class").select(
+            "bucket", F.col("class").alias("u"), F.col("n_shingles").alias("nu"), F.col("place").alias("pu"),
+            F.col("hub").alias("hu"), F.col("signature").alias("su"),
         )
-        likely = land(agreeing(land(pairs, "pairs"), classes, percent), "likely")
-        new = land(confirmed(likely, docs, classes, percent, n), "links")
+        worth = (
+            (ranked["bucket"] == hub["bucket"]) & (F.col("place") != F.col("pu"))
+            & (F.col("hub").isNull() | (F.col("hub") > F.col("hu")))
+            & _close(F.col("n_shingles"), F.col("nu"), percent) & _agree(F.col("signature"), F.col("su"), percent)
+        )
+        pairs = land(ranked.join(hub, worth).select("u", F.col("class").alias("v")).distinct(), "pairs")
+        new = land(confirmed(pairs, docs, classes, percent, n), "links")
         found = new if found is None else found.unionByName(new)
         joined = land(components(found).select(F.col("node").alias("class"), "component"), "joined")
-        # A hub was compared with all larger classes of its bucket, and it is among the smallest.
-        members = land(placed.join(hubs.select("bucket", "class"), ["bucket", "class"], "left_anti").select("bucket", "class", "n_shingles"), "members")
+        # A hub was compared with its whole bucket, but for what shared its place.
+        members = land(placed.join(hubs.select("bucket", "class"), ["bucket", "class"], "left_anti").select(*columns), "members")
         n_hubs *= 4
     return joined if joined is not None else classes.select("class", F.col("class").alias("component")).limit(0)
 
@@ -231,8 +231,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85, n: int = SHINGLE) -> Dat
     """
     rows = land(prints(docs, n), "prints")
     worded = rows.where("n_shingles > 0")
-    # Copies are reduced to one row before the shuffle; min_by would carry all signatures.
-    least = worded.groupBy("class", "n_shingles", "signature").agg(F.min(F.struct("doc_id", "text_key")).alias("least"))
+    least = worded.groupBy("class").agg(
+        F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"),
+        F.min(F.struct("doc_id", "text_key")).alias("least"),
+    )
     classes = land(least.select("class", "n_shingles", "signature", "least.doc_id", "least.text_key"), "classes")
     joined = links(docs, classes, percent, n)
     ids = classes.select("class", "doc_id").join(joined, "class", "left")
