@@ -39,7 +39,7 @@ WINDOW, GRAM = 32, 16
 #: Suffixes of one name that a task compares by itself.
 HOT = 100_000
 #: Bytes of text that are handled at once.
-STEP = 2 << 20
+STEP = 1 << 18
 
 Piece = tuple[int, int, bytes]
 
