@@ -233,13 +233,13 @@ def near_duplicates(docs: DataFrame, percent: int = 85, n: int = SHINGLE) -> Dat
     worded = rows.where("n_shingles > 0")
     least = worded.groupBy("class").agg(
         F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"),
-        F.min(F.struct("doc_id", "text_key")).alias("least"),
+        F.min(F.struct("doc_id", "text_key")).alias("least"), F.min("doc_id").alias("name"),
     )
-    classes = land(least.select("class", "n_shingles", "signature", "least.doc_id", "least.text_key"), "classes")
+    classes = land(least.select("class", "n_shingles", "signature", "least.doc_id", "least.text_key", "name"), "classes")
     joined = links(docs, classes, percent, n)
-    ids = classes.select("class", "doc_id").join(joined, "class", "left")
+    ids = classes.select("class", "name").join(joined, "class", "left")
     ids = ids.withColumn("component", F.coalesce("component", "class"))
-    names = ids.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    names = ids.groupBy("component").agg(F.min("name").alias("component_id"))
     named = ids.join(names, "component").select("class", "component_id")
     placed = rows.join(named, "class", "left").withColumn(
         "component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
