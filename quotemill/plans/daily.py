@@ -35,26 +35,28 @@ def day_quotes(
 ) -> DataFrame:
     """First record per group of the responses in range, if every shard is complete.
 
-    ``responses`` holds (code, payload) and ``symbols`` (Stock_Code). A failed
-    request or an empty shard leaves no rows at all.
+    ``responses`` holds (code, payload) and ``symbols`` (Stock_Code). A failed request, a
+    symbol without a response, a record without a readable date or an empty shard
+    leaves no rows at all.
     """
     placed = symbol_shards(symbol_positions(symbols), shards).select(
         F.col("Stock_Code").alias("__symbol"), "shard"
     )
-    requested = responses.withColumnRenamed("code", "__symbol").join(placed, "__symbol")
-    failures = response_status(requested).where(F.col("status") == "failed")
+    requested = placed.join(responses.withColumnRenamed("code", "__symbol"), "__symbol", "left")
+    failures = response_status(requested).where(F.col("status") == "failed").select("shard")
     quotes = envelope_explode(requested, keep=("shard",))
+    undated = quotes.where("date is null")
     chosen = first_record(price_range(quotes, from_date, to_date), first_by)
-    # The gate and its scalar both read the chosen rows: land them once.
-    return publish_if_complete(land(chosen, "quotes"), range(shards), failures=failures).drop(
-        "shard"
-    )
+    # The gate and its scalars read these rows several times: land them once.
+    chosen = land(chosen.unionByName(undated), "quotes")
+    failures = failures.unionByName(chosen.where("date is null").select("shard"))
+    return publish_if_complete(chosen, range(shards), failures=failures).drop("shard")
 
 
 def load_staging(
     spark: SparkSession, quotes: DataFrame, run_date: str | None = None, database: str = "default"
 ) -> DataFrame:
-    """Replace staging by the transformed quotes, clustered by trading date."""
+    """Replace staging by the transformed quotes."""
     rows = blank_staging(spark).unionByName(transform_quotes(quotes, run_date))
     return replace_table(rows, f"{database}.full_data")
 
@@ -146,13 +148,17 @@ def run_daily(
     database: str = "default",
     dedupe: bool = True,
     padded: bool = False,
-    first_by: Sequence[str] = ("code",),
+    first_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Responses of one load to the fact table, end to end.
 
-    One record per symbol is kept; ``first_by=("code", "date")`` keeps one per
-    symbol and date, for a load of many dates.
+    A load of one date keeps one record per symbol. For a longer range the caller says
+    what to keep: ``("code",)`` one record per symbol, ``("code", "date")`` one per symbol and date.
     """
+    if first_by is None:
+        if from_date != to_date:
+            raise ValueError("say with first_by which records of a range of dates are kept")
+        first_by = ("code",)
     quotes = day_quotes(responses, symbols, from_date, to_date, first_by=first_by)
     staging = load_staging(spark, quotes, run_date, database)
     return load_star(spark, staging, database, dedupe, padded, (from_date, to_date))

@@ -10,11 +10,12 @@ from quotemill.streaming.sink import (
     start_batches,
     start_console,
     start_quote_stream,
+    stream_id,
     stream_table,
 )
 
 __all__ = [
     "all_of", "backfill", "backfill_messages", "decode_quotes", "jdbc_batch_writer",
     "keyed_batch_writer", "plain_batch_writer", "read_batches", "run_to_end", "split_malformed",
-    "start_batches", "start_console", "start_quote_stream", "stream_table",
+    "start_batches", "start_console", "start_quote_stream", "stream_id", "stream_table",
 ]

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,11 +18,17 @@ from quotemill.streaming.decode import decode_quotes
 
 BatchFunction = Callable[[DataFrame, int], None]
 
+#: Fixed value.
 TRIGGER = "5 seconds"
 
 
-def batch_folder(path: str, batch_id: int) -> str:
-    return f"{path}/batch_id={batch_id}"
+def stream_id(checkpoint: str) -> str:
+    """Names the stream that a checkpoint belongs to: batch ids are its own."""
+    return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
+
+def batch_folder(path: str, batch_id: int, stream: str | None = None) -> str:
+    return f"{path}/stream={stream}/batch_id={batch_id}" if stream else f"{path}/batch_id={batch_id}"
 
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -30,38 +38,66 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
 
 
 def stream_table(spark: SparkSession, path: str) -> DataFrame:
-    """The keyed stream table."""
-    return read_batches(spark, path, stream_table_schema())
+    """The keyed stream table; batches of several streams on one target stand side by side."""
+    return read_batches(spark, path, stream_table_schema()).drop("stream")
+
+
+# A leading underscore hides the folder from readers of the table.
+_IDS = "stream string, batch_id long, first_id long, last_id long"
+
+
+def _ids_folder(path: str) -> str:
+    return f"{path}/_ids"
+
+
+def _known_ids(spark: SparkSession, path: str) -> DataFrame:
+    """First and last id of every batch that the target holds."""
+    try:
+        return spark.read.schema(_IDS).parquet(_ids_folder(path))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], _IDS)
 
 
-def _last_id_folder(path: str, batch_id: int) -> str:
-    # A leading underscore hides the folder from readers of the table.
-    return f"{path}/_last_id/batch_id={batch_id}"
+def _start_id(spark: SparkSession, path: str, stream: str, batch_id: int) -> int:
+    """The last id before a batch: its own if it is replayed, else its predecessor's, else, for
+    the first batch of a stream, the highest of the target."""
+    known = _known_ids(spark, path)
+    own = known.where((F.col("stream") == stream) & (F.col("batch_id").between(batch_id - 1, batch_id)))
+    by_batch = {r["batch_id"]: r for r in own.collect()}
+    if batch_id in by_batch:
+        return by_batch[batch_id]["first_id"]
+    if batch_id - 1 in by_batch:
+        return by_batch[batch_id - 1]["last_id"]
+    return known.agg(F.coalesce(F.max("last_id"), F.lit(0)).alias("last_id")).first()["last_id"]
 
 
-def keyed_batch_writer(path: str, order: Sequence[str] = ("date", "code")) -> BatchFunction:
+def keyed_batch_writer(
+    path: str, order: Sequence[str] = ("date", "code"), stream: str = "main"
+) -> BatchFunction:
     """Write each batch to its own folder, with ids that continue over batches.
 
-    Beside its rows a batch leaves its last id, so the next one reads a single
-    row and not the table. A replayed batch overwrites its folder and gets the
-    same ids. The batch is landed before it is numbered: its messages are
-    decoded once.
+    ``stream`` names the stream: a checkpoint counts its batches from 0, so a query with a
+    new checkpoint on an existing target needs a name of its own (``stream_id``). It then
+    erases nothing and continues the ids of the target. Beside its rows a batch leaves its
+    first and last id, so the next one reads one row per batch and not the table. A replayed batch
+    overwrites its folder and gets the same ids. One query at a time writes to a target. The
+    batch is landed before it is numbered: its messages are decoded once.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        start = F.lit(0).cast("bigint")
-        if batch_id > 0:
-            start = spark.read.parquet(_last_id_folder(path, batch_id - 1)).scalar()
+        start = _start_id(spark, path, stream, batch_id)
         rows = batch.withColumnsRenamed(STREAM_RENAMES)
-        keyed = assign_keys(rows, "id", order, start)
-        target = batch_folder(path, batch_id)
+        keyed = assign_keys(rows, "id", order, F.lit(start).cast("bigint"))
+        target = batch_folder(path, batch_id, stream)
         keyed.write.mode("overwrite").parquet(target)
         written = spark.read.schema(keyed.schema).parquet(target)
-        last = written.agg(F.max("id").alias("last")).select(
-            F.coalesce("last", start).alias("last_id")
+        ids = written.agg(F.coalesce(F.max("id"), F.lit(start)).alias("last_id")).select(
+            F.lit(start).cast("long").alias("first_id"), F.col("last_id").cast("long")
         )
-        last.write.mode("overwrite").parquet(_last_id_folder(path, batch_id))
+        ids.write.mode("overwrite").parquet(f"{_ids_folder(path)}/stream={stream}/batch_id={batch_id}")
 
     return write
 
@@ -135,7 +171,8 @@ def start_quote_stream(
     Two sinks are two queries, each with its own checkpoint under ``checkpoint``.
     """
     quotes = decode_quotes(messages)
-    queries = [start_batches(quotes, keyed_batch_writer(path), f"{checkpoint}/table", once)]
+    write = keyed_batch_writer(path, stream=stream_id(checkpoint))
+    queries = [start_batches(quotes, write, f"{checkpoint}/table", once)]
     if echo:
         queries.append(start_console(quotes, f"{checkpoint}/console", once))
     return queries

@@ -120,6 +120,7 @@ def response(code, days, date=dt.date(2024, 1, 2), time="15:00:00"):
 
 
 def run(spark, database, responses, codes, **options):
+    options.setdefault("first_by", ("code",))
     frame = spark.createDataFrame(responses, "code string, payload string")
     symbols = spark.createDataFrame([(c,) for c in codes], "Stock_Code string")
     return plans.run_daily(

@@ -385,6 +385,9 @@ FROM full_data s WHERE NOT EXISTS (
         f"{F2},{FIRST_STAGED},{dims('first_data')},{fact('first_data')}",
         "SELECT * FROM fact_table",
     ),
+    "daily_load_all_dates": select(STAR, "SELECT * FROM fact_table"),
+    "daily_load_absent_response": select(STAR, "SELECT * FROM fact_table WHERE false"),
+    "daily_load_bad_date": select(STAR, "SELECT * FROM fact_table WHERE false"),
     "pk_violations": select(
         f"{STAGED},{dates('datetime_dim', 'full_data')}",
         """
@@ -426,6 +429,11 @@ SELECT code, "floor" = 'signup' AS bad_number FROM quotes_raw WHERE {REJECTED}""
     "stream_foreachbatch": select(F1, f"""
 SELECT CAST(row_number() OVER (ORDER BY {order_by(["date", "code"], QUOTE_NAMES)}) AS BIGINT)
   AS id, {STREAM_COLUMNS} FROM quotes_raw"""),
+    "stream_restart_new_checkpoint": select(F1, f"""
+SELECT CAST(r + k * n AS BIGINT) AS id, {STREAM_COLUMNS} FROM (
+  SELECT *, row_number() OVER (ORDER BY {order_by(["date", "code"], QUOTE_NAMES)}) AS r, count(*) OVER () AS n
+  FROM quotes_raw
+) numbered, (VALUES (0), (1)) AS loads(k)"""),
     "stream_two_sinks": select(F1, f"""
 SELECT 'table' AS sink, {COLUMNS} FROM quotes_raw
 UNION ALL SELECT 'echo' AS sink, {COLUMNS} FROM quotes_raw"""),

@@ -293,19 +293,45 @@ def star_readback(spark, sf_dir):
     return plans.star_readback(plans.fact_table(staging, dims), dims)
 
 
-def daily_load(spark, sf_dir):
-    """Responses to star tables, the load run twice; the second run adds nothing."""
+def _daily(spark, responses, symbols, first_by, loads=1):
     database = _table_name("star")
     spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, 'star')}'")
-    responses = land(fx.clean_responses(spark, sf_dir), "responses")
-    symbols = land(fx.traded_symbols(spark, sf_dir), "symbols")
-    for _ in range(2):
+    for _ in range(loads):
         fact = plans.run_daily(
-            spark, responses, symbols, "2024-01-01", "2024-01-31", database=database
+            spark, responses, symbols, "2024-01-01", "2024-01-31", database=database, first_by=first_by
         )
     return fact
 
 
+def _requests(spark, sf_dir):
+    responses = land(fx.clean_responses(spark, sf_dir), "responses")
+    return responses, land(fx.traded_symbols(spark, sf_dir), "symbols")
+
+
+def daily_load(spark, sf_dir):
+    """Responses to star tables, the load run twice; the second run adds nothing."""
+    return _daily(spark, *_requests(spark, sf_dir), ("code",), loads=2)
+
+
+def daily_load_all_dates(spark, sf_dir):
+    """One record per symbol and date."""
+    return _daily(spark, *_requests(spark, sf_dir), ("code", "date"))
+
+
+def daily_load_absent_response(spark, sf_dir):
+    """A requested symbol has no response: nothing is published."""
+    responses, symbols = _requests(spark, sf_dir)
+    first = responses.agg(F.min("code").alias("code"))
+    return _daily(spark, responses.join(first, "code", "left_anti"), symbols, ("code",))
+
+
+def daily_load_bad_date(spark, sf_dir):
+    """A record's date cannot be read: nothing is published."""
+    responses, symbols = _requests(spark, sf_dir)
+    spoilt = F.regexp_replace("payload", r'"date":"2024-01-01"', '"date":"01/2024"')
+    return _daily(spark, responses.withColumn("payload", spoilt), symbols, ("code",))
+
+
 # Constraints
 
 
@@ -445,6 +471,17 @@ def stream_foreachbatch(spark, sf_dir):
     return _as_quotes(streaming.stream_table(spark, path)).drop("batch_id")
 
 
+def stream_restart_new_checkpoint(spark, sf_dir):
+    """Two checkpoints on one target: all messages of both, once each, under dense ids."""
+    path = scratch_path(spark, "stream_table")
+    for _ in range(2):
+        messages = fx.message_stream(spark, sf_dir)
+        checkpoint = scratch_path(spark, "checkpoint")
+        for query in streaming.start_quote_stream(messages, path, checkpoint, once=True):
+            streaming.run_to_end(query, STREAM_TIMEOUT)
+    return _as_quotes(streaming.stream_table(spark, path)).drop("batch_id")
+
+
 def stream_two_sinks(spark, sf_dir):
     decoded = streaming.decode_quotes(fx.message_stream(spark, sf_dir))
     keyed, echo = scratch_path(spark, "stream_table"), scratch_path(spark, "echo")
@@ -506,6 +543,9 @@ QUERIES: dict[str, Query] = {
     "fact_reload_fanout": fact_reload_fanout,
     "star_readback": star_readback,
     "daily_load": daily_load,
+    "daily_load_all_dates": daily_load_all_dates,
+    "daily_load_absent_response": daily_load_absent_response,
+    "daily_load_bad_date": daily_load_bad_date,
     "pk_violations": pk_violations,
     "date_id_overflow": date_id_overflow,
     "fk_orphans": fk_orphans,
@@ -521,5 +561,6 @@ QUERIES: dict[str, Query] = {
     "stream_malformed": stream_malformed,
     "stream_readable": stream_readable,
     "stream_foreachbatch": stream_foreachbatch,
+    "stream_restart_new_checkpoint": stream_restart_new_checkpoint,
     "stream_two_sinks": stream_two_sinks,
 }
