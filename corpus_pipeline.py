@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quotemill.llm import bpe, mixing, near_dedup, quality, suffix_dedup
 from quotemill.llm.queries import tokenizer_path
-from quotemill.llm.shared import land, read, ship
+from quotemill.llm.shared import land, read, prepare
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -18,31 +18,31 @@ SIMILARITY = 80
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or the cascade reject go."""
-    ship(spark)
+    prepare(spark)
     return quality.filter_documents(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays."""
-    ship(spark)
+    prepare(spark)
     return near_dedup.keep_one(docs, SIMILARITY)
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Strings of 200 bytes that start in several places go from all of them; the rows stay."""
-    ship(spark)
+    prepare(spark)
     return suffix_dedup.clean_documents(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents once, twice or not at all, so that sources reach their targets."""
-    ship(spark)
+    prepare(spark)
     return mixing.mixed_documents(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document of the mix."""
-    ship(spark)
+    prepare(spark)
     return bpe.encode_documents(docs, tokenizer_path())
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from quotemill.llm import (
     bpe, mixing, near_dedup, neighbours, quality, sentence_spans, suffix_dedup, token_output, toxicity, url_filter,
 )
-from quotemill.llm.shared import read, ship
+from quotemill.llm.shared import read, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,7 +23,7 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    ship(spark)
+    prepare(spark)
     return read(spark, sf_dir, name)
 
 

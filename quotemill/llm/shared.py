@@ -18,18 +18,23 @@ from quotemill.scratch import land
 
 __all__ = [
     "MIX", "as_binary", "has_bit", "id_bitmap", "in_bitmap", "land", "map_batches", "pack_slots", "parts",
-    "read", "row_key", "ship", "texts_of", "word_hashes",
+    "read", "row_key", "prepare", "texts_of", "word_hashes",
 ]
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 BITMAP_BITS = 1 << 22
+#: Rows of an Arrow batch, unless the session names another number than Spark's default.
+BATCH_ROWS = 1000
 
 
 _shipped: set[str] = set()
 
 
-def ship(spark: SparkSession) -> None:
-    """Give this package to the executors' Python, once for each application."""
+def prepare(spark: SparkSession) -> None:
+    """Give this package to the executors' Python, once for each application, and keep Arrow
+    batches of texts small: a batch is held several times over, by the JVM and by Python."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return

@@ -18,7 +18,7 @@ from quotemill.llm import (
     url_filter,
 )
 from quotemill.llm.queries import tokenizer_path
-from quotemill.llm.shared import ship
+from quotemill.llm.shared import prepare
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept string, size string, ranges string"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -50,13 +50,13 @@ def rows():
 
 @pytest.fixture(scope="module")
 def docs(spark, rows):
-    ship(spark)
+    prepare(spark)
     return spark.createDataFrame(rows, SCHEMA).repartition(3, "doc_id")
 
 
 @pytest.fixture(scope="module")
 def empty(spark):
-    ship(spark)
+    prepare(spark)
     return spark.createDataFrame([], SCHEMA)
 
 
@@ -170,7 +170,7 @@ def embeddings(spark, extra=()):
 
 
 def test_nearest_neighbours(spark):
-    ship(spark)
+    prepare(spark)
     odd = [(2000, None), (2020, [0.0] * 8), (2040, [float("nan")] * 8), (2060, [None] * 8), (2080, [1.0]), (None, [1.0] * 8)]
     table, rows = embeddings(spark, odd)
     ids, v = np.array([i for i, _ in rows]), np.array([x for _, x in rows], dtype=np.float32).astype(float)
@@ -193,7 +193,7 @@ def test_nearest_neighbours(spark):
 
 
 def test_few_vectors_are_all_found(spark):
-    ship(spark)
+    prepare(spark)
     few = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(5)], "vec_id long, embedding array<float>")
     assert neighbours.nearest(few).count() == 4
 
@@ -271,7 +271,7 @@ def test_sentence_spans(docs, rows, empty):
 
 
 def test_toxicity(spark, empty):
-    ship(spark)
+    prepare(spark)
     rng = random.Random(2)
     some = [(i, prose(rng, 60) + (" grobian " if i % 4 == 0 else " ") + prose(rng, 60)) for i in range(400)] + [(None, None)]
     docs = spark.createDataFrame([(i, t, "en") for i, t in some], "doc_id long, text string, score string")
