@@ -195,27 +195,32 @@ def chunk_index(spark: SparkSession, path: str) -> DataFrame:
     return local.join(parts_start, "part").select("part", "chunk", (F.col("base") + F.col("local")).alias("start"))
 
 
-def read_tokens(spark: SparkSession, path: str, plane: str = "bit") -> DataFrame:
-    """Per document: doc_id, part, chunk, offset in the chunk, and ids (little-endian, 32 bits each)."""
+def _read(spark: SparkSession, path: str, plane: str, schema: str, view) -> DataFrame:
+    """Per document doc_id, part, chunk, offset in the chunk, n_tokens, and ``view`` of its ids."""
+    last, kind = schema.split()[-2:]
 
     def make(batch: pa.RecordBatch) -> dict:
-        out: dict[str, list] = {k: [] for k in ("doc_id", "part", "chunk", "offset", "ids")}
+        names = ("doc_id", "part", "chunk", "offset", "n_tokens", last)
+        out: dict[str, list] = {k: [] for k in names}
         for row in batch.to_pylist():
             flat = unpack(row["n_ids"], row["plane_ends"], row["payload"], plane)
             at = 0
             for doc_id, n in zip(row["doc_ids"], row["n_tokens"]):
-                out["ids"].append(flat[at : at + n].tobytes())
-                out["doc_id"].append(doc_id)
-                out["part"].append(row["part"])
-                out["chunk"].append(row["chunk"])
-                out["offset"].append(at)
+                values = (doc_id, row["part"], row["chunk"], at, n, view(flat[at : at + n].tobytes()))
+                for name, value in zip(names, values):
+                    out[name].append(value)
                 at += n
-        return {
-            k: pa.array(v, pa.binary() if k == "ids" else pa.int64()) for k, v in out.items()
-        }
+        return {k: pa.array(v, pa.binary() if k == last and kind == "binary" else pa.int64()) for k, v in out.items()}
+
+    return map_batches(spark.read.schema(CHUNK).parquet(path), schema, make)
+
+
+PLACE = "doc_id long, part long, chunk long, offset long, n_tokens long"
 
-    rows = spark.read.schema(CHUNK).parquet(path)
-    return map_batches(rows, "doc_id long, part long, chunk long, offset long, ids binary", make)
+
+def read_tokens(spark: SparkSession, path: str, plane: str = "bit") -> DataFrame:
+    """Per document: doc_id, part, chunk, offset in the chunk, n_tokens and ids (little-endian, 32 bits each)."""
+    return _read(spark, path, plane, f"{PLACE}, ids binary", bytes)
 
 
 def round_trip(docs: DataFrame, tokenizer: str, plane: str = "bit") -> DataFrame:
@@ -223,16 +228,7 @@ def round_trip(docs: DataFrame, tokenizer: str, plane: str = "bit") -> DataFrame
     spark = docs.sparkSession
     path = scratch_path(spark, "tokens")
     write_tokens(docs, tokenizer, path, plane)
-
-    def make(batch: pa.RecordBatch) -> dict:
-        ids = batch.column("ids").to_pylist()
-        return {
-            **{k: batch.column(k) for k in ("doc_id", "part", "chunk", "offset")},
-            "n_tokens": [len(x) // 4 for x in ids], "ids_crc32": [zlib.crc32(x) for x in ids],
-        }
-
-    schema = "doc_id long, part long, chunk long, offset long, n_tokens long, ids_crc32 long"
-    rows = map_batches(read_tokens(spark, path, plane), schema, make)
+    rows = _read(spark, path, plane, f"{PLACE}, ids_crc32 long", zlib.crc32)
     return rows.join(chunk_index(spark, path), ["part", "chunk"]).select(
         "doc_id", (F.col("start") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32"
     )
