@@ -13,7 +13,9 @@ the index, and reading them does not touch the planes.
 
 from __future__ import annotations
 
+import functools
 import os
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -37,6 +39,8 @@ END_ID = 1
 #: Bits of an id, and bits that a plane takes from it.
 ID_BITS = 32
 PLANE_BITS = {"bit": 1, "byte": 8}
+#: Byte planes take an eighth of the work of bit planes.
+PLANE = "byte"
 
 CHUNK = (
     "part long, chunk long, n_ids long, doc_ids array<long>, n_tokens array<long>,"
@@ -44,6 +48,11 @@ CHUNK = (
 )
 
 
+@functools.cache
+def pack_ids(n: int) -> struct.Struct:
+    return struct.Struct(f"<{n}I")
+
+
 class LibraryEncoder:
     """Ids of whole texts by the tokenizers library, as little-endian unsigned 32-bit integers.
 
@@ -75,7 +84,7 @@ class LibraryEncoder:
             some = chunks[a : a + 10_000]
             found = self.library.encode_batch_fast([c.decode() for c in some], add_special_tokens=False)
             for chunk, x in zip(some, found):
-                self.known[chunk] = np.array(x.ids, dtype="<u4").tobytes()
+                self.known[chunk] = pack_ids(len(x.ids)).pack(*x.ids)
 
 
 _encoders: dict[str, LibraryEncoder] = {}
@@ -87,7 +96,7 @@ def encoder(path: str) -> LibraryEncoder:
     return _encoders[path]
 
 
-def to_planes(ids: np.ndarray, plane: str = "bit") -> list[bytes]:
+def to_planes(ids: np.ndarray, plane: str = PLANE) -> list[bytes]:
     """The planes of one block, lowest bits first."""
     octets = ids.astype("<u4").view(np.uint8).reshape(len(ids), ID_BITS // 8)
     if plane == "byte":
@@ -98,7 +107,7 @@ def to_planes(ids: np.ndarray, plane: str = "bit") -> list[bytes]:
     return [row.tobytes() for row in np.packbits(bits.reshape(ID_BITS, len(ids)), axis=1, bitorder="little")]
 
 
-def from_planes(planes: list[bytes], n_ids: int, plane: str = "bit") -> np.ndarray:
+def from_planes(planes: list[bytes], n_ids: int, plane: str = PLANE) -> np.ndarray:
     rows = np.frombuffer(b"".join(planes), dtype=np.uint8).reshape(len(planes), -1)
     if plane == "bit":
         bits = np.unpackbits(rows, axis=1, count=n_ids, bitorder="little")
@@ -127,7 +136,7 @@ def unpack(n_ids: int, ends: list[int], payload: bytes, plane: str) -> np.ndarra
 
 
 def write_tokens(
-    docs: DataFrame, tokenizer: str, path: str, plane: str = "bit", level: int = 1, end_id: int = END_ID
+    docs: DataFrame, tokenizer: str, path: str, plane: str = PLANE, level: int = 1, end_id: int = END_ID
 ) -> None:
     """Encode every row of ``docs``, append ``end_id`` to each, and write them by ascending doc_id.
 
@@ -218,12 +227,12 @@ def _read(spark: SparkSession, path: str, plane: str, schema: str, view) -> Data
 PLACE = "doc_id long, part long, chunk long, offset long, n_tokens long"
 
 
-def read_tokens(spark: SparkSession, path: str, plane: str = "bit") -> DataFrame:
+def read_tokens(spark: SparkSession, path: str, plane: str = PLANE) -> DataFrame:
     """Per document: doc_id, part, chunk, offset in the chunk, n_tokens and ids (little-endian, 32 bits each)."""
     return _read(spark, path, plane, f"{PLACE}, ids binary", bytes)
 
 
-def round_trip(docs: DataFrame, tokenizer: str, plane: str = "bit") -> DataFrame:
+def round_trip(docs: DataFrame, tokenizer: str, plane: str = PLANE) -> DataFrame:
     """Write all documents, read the files back, and describe each document from them."""
     spark = docs.sparkSession
     path = scratch_path(spark, "tokens")
