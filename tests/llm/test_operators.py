@@ -239,6 +239,17 @@ def test_token_files(docs, rows, empty):
     assert token_output.round_trip(empty, tokenizer_path()).count() == 0
 
 
+def test_chunks_encoded_together_are_encoded_as_if_alone(monkeypatch):
+    monkeypatch.setattr(token_output, "JOINED", 3)
+    library, encode = Tokenizer.from_file(tokenizer_path()), token_output.LibraryEncoder(tokenizer_path()).encode
+    texts = [
+        "a bc don't 12 ÉİSS x\u0301 \u0301y", "<|startoftext|> a<|startoftext|>b <|endoftext|> b<|endoftext|>",
+        "", "z \u3000 \x85 \x1c w\xa0v", "bc bc<|start oftext|>",
+    ]
+    for text, found in zip(texts, encode([t.encode() for t in texts])):
+        assert np.frombuffer(found, dtype="<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("plane", ["bit", "byte"])
 @pytest.mark.parametrize("n", [0, 1, 7, 8, token_output.BLOCK, token_output.BLOCK + 3])
 def test_planes(plane, n):
