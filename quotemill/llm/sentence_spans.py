@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotemill.llm.shared import MIX, map_batches, parts, row_key, texts_of, word_hashes
+from quotemill.llm.shared import MIX, land, map_batches, parts, row_key, texts_of, word_hashes
 
 MIN_SENTENCES = 2
 MIN_WORDS = 25
@@ -90,7 +90,8 @@ def repeated_spans(
         runs.groupBy("h1", "h2").agg(F.min(place).alias("origin"), F.max(place).alias("latest"))
         .where("origin <> latest").select("h1", "h2", "origin")
     )
-    later = runs.join(twice, ["h1", "h2"]).where(place != F.col("origin"))
+    # Written first, so that the join has a shuffle of its own, which Spark splits at a common span.
+    later = runs.join(land(twice, "twice"), ["h1", "h2"]).where(place != F.col("origin"))
     covered = later.select("doc_id", "text_key", F.explode(F.sequence("first", F.col("first") + F.col("n") - 1)).alias("at"))
     return covered.groupBy("doc_id", "text_key").agg(F.collect_set("at").alias("removed"))
 
