@@ -4,9 +4,10 @@ Documents with equal shingle sets are one *class*; all that follows works on cla
 Classes that agree on all minima of a band share a bucket. A bucket compares a few of its
 classes, the *hubs*, with all others, and never all with all: after a round, links have
 joined most of a bucket into one component, and only classes in a component other than the
-hub's are compared again, with more hubs. A hub was compared with its whole bucket, so it
+hub's are compared again, with more hubs. A pair that shares several bands is compared in
+the bucket of the first of them alone. A hub was compared with its whole bucket, so it
 leaves; the rounds end when no bucket has two components left. So every pair of a bucket
-that could join two components is compared.
+that could join two components is compared, and once.
 """
 
 from __future__ import annotations
@@ -28,7 +29,8 @@ SHINGLE = 5
 BANDS, ROWS = 25, 5
 SEED = 7
 #: Minima of a signature. Those of texts as similar as asked agree in a share that a threshold
-#: of so many standard deviations below the expected one misses once in 300,000.
+#: of so many standard deviations below the expected one misses once in 300,000. The lowest byte
+#: of a minimum stands for it: equal minima stay equal, others agree once in 256.
 MINIMA, DEVIATIONS = 200, 4.5
 
 
@@ -102,24 +104,24 @@ def prints(docs: DataFrame, n: int = SHINGLE, n_hashes: int = MINIMA) -> DataFra
             "n_shingles": np.concatenate(sizes).astype(np.int64),
             "class": pa.array([k for ks in keys for k in ks], pa.binary()),
             "signature": pa.ListArray.from_arrays(
-                np.arange(batch.num_rows + 1, dtype=np.int32) * n_hashes, np.concatenate(minima).view(np.int32).ravel()
+                np.arange(batch.num_rows + 1, dtype=np.int32) * n_hashes, np.concatenate(minima).astype(np.uint8).view(np.int8).ravel()
             ),
         }
 
-    schema = "doc_id long, text_key long, n_shingles long, class binary, signature array<int>"
+    schema = "doc_id long, text_key long, n_shingles long, class binary, signature array<tinyint>"
     return map_batches(keyed, schema, make)
 
 
 def buckets(classes: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(bucket, class, n_shingles, weight) for buckets of at least two classes.
+    """(band, bucket, class, n_shingles, weight) for buckets of at least two classes.
 
     ``weight`` is how many classes a class meets in all its buckets: the text that
     the others are variants of meets most.
     """
-    bucket = F.explode(
+    bucket = F.posexplode(
         F.array(*(F.xxhash64(F.lit(i), F.slice("signature", i * rows + 1, rows)) for i in range(bands)))
     )
-    members = classes.select(bucket.alias("bucket"), "class", "n_shingles")
+    members = classes.select(bucket.alias("band", "bucket"), "class", "n_shingles")
     shared = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     met = land(members.join(shared, "bucket"), "met")
     weight = met.groupBy("class").agg(F.sum("n").alias("weight"))
@@ -139,6 +141,12 @@ def _agree(a: Column, b: Column, percent: int, n_hashes: int = MINIMA) -> Column
     return F.aggregate(same, F.lit(0), lambda total, x: total + x) >= least
 
 
+def _first_shared(a: Column, b: Column, band: Column, rows: int = ROWS) -> Column:
+    """Whether no band before this one is shared."""
+    before = F.when(band > 0, F.sequence(F.lit(0), band - 1)).otherwise(F.array().cast("array<int>"))
+    return F.forall(before, lambda i: F.slice(a, i * rows + 1, F.lit(rows)) != F.slice(b, i * rows + 1, F.lit(rows)))
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: int, n: int = SHINGLE) -> DataFrame:
     """Pairs of classes whose full shingle sets are similar enough.
 
@@ -209,8 +217,9 @@ def links(docs: DataFrame, classes: DataFrame, percent: int, n: int = SHINGLE) -
             (ranked["bucket"] == hub["bucket"]) & (F.col("place") != F.col("pu"))
             & (F.col("hub").isNull() | (F.col("hub") > F.col("hu")))
             & _close(F.col("n_shingles"), F.col("nu"), percent) & _agree(F.col("signature"), F.col("su"), percent)
+            & _first_shared(F.col("signature"), F.col("su"), F.col("band"))
         )
-        pairs = land(ranked.join(hub, worth).select("u", F.col("class").alias("v")).distinct(), "pairs")
+        pairs = land(ranked.join(hub, worth).select("u", F.col("class").alias("v")), "pairs")
         new = land(confirmed(pairs, docs, classes, percent, n), "links")
         found = new if found is None else found.unionByName(new)
         joined = land(components(found).select(F.col("node").alias("class"), "component"), "joined")
