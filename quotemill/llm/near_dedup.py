@@ -12,6 +12,8 @@ that could join two components is compared, and once.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -32,6 +34,9 @@ SEED = 7
 #: of so many standard deviations below the expected one misses once in 300,000. The lowest byte
 #: of a minimum stands for it: equal minima stay equal, others agree once in 256.
 MINIMA, DEVIATIONS = 200, 4.5
+#: Hubs of a bucket: one at first, so many times more in each later round, and at most so many,
+#: for up to which Spark ranks within each partition before it shuffles.
+MORE_HUBS, MOST_HUBS = 16, 1000
 
 
 def shingles(texts: list[bytes], n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -194,7 +199,7 @@ def links(docs: DataFrame, classes: DataFrame, percent: int, n: int = SHINGLE) -
     members = land(buckets(classes), "buckets")
     columns = members.columns
     signature = classes.select("class", "signature")
-    found = joined = None
+    joined = None
     n_hubs = 1
     while True:
         if joined is None:
@@ -221,11 +226,14 @@ def links(docs: DataFrame, classes: DataFrame, percent: int, n: int = SHINGLE) -
         )
         pairs = land(ranked.join(hub, worth).select("u", F.col("class").alias("v")), "pairs")
         new = land(confirmed(pairs, docs, classes, percent, n), "links")
-        found = new if found is None else found.unionByName(new)
-        joined = land(components(found).select(F.col("node").alias("class"), "component"), "joined")
+        if joined is None or not new.isEmpty():
+            # Components so far are stars, of the same reach as the links that made them.
+            known = [] if joined is None else [joined.select(F.col("class").alias("u"), F.col("component").alias("v"))]
+            found = reduce(DataFrame.unionByName, known, new)
+            joined = land(components(found).select(F.col("node").alias("class"), "component"), "joined")
         # A hub was compared with its whole bucket, but for what shared its place.
         members = land(placed.join(hubs.select("bucket", "class"), ["bucket", "class"], "left_anti").select(*columns), "members")
-        n_hubs *= 4
+        n_hubs = min(n_hubs * MORE_HUBS, MOST_HUBS)
     return joined if joined is not None else classes.select("class", F.col("class").alias("component")).limit(0)
 
 
