@@ -1,4 +1,4 @@
-"""Approximate nearest neighbours by balanced posting lists.
+"""Nearest neighbours by balanced posting lists, completed by a bound.
 
 Vectors are put into posting lists around centroids. A vector near the border of
 clusters stands in several lists. Centroids form a small graph that each task holds and
@@ -6,6 +6,10 @@ walks to find the lists of a vector; a query reads the lists whose distance is w
 a ratio of its nearest. A list is cut into blocks of bounded size, and so are the
 queries of a list, so a task scores bounded matrices.
 
+No vector of a list is nearer to a query than the list's centroid less its radius. A query
+then reads every list of which that does not rule out a vector as near as its last place, so
+the result is exact. Lists near each other form groups; the second pass reads whole groups.
+
 The measure is the inner product. With one more component, the square root of the largest
 squared norm less the vector's own, all vectors have one norm, and the largest inner product
 with a query (its component is 0) is the smallest distance.
@@ -35,8 +39,10 @@ DEGREE, ENTRIES, BEAM = 16, 8, 48
 REPLICA_RATIO, MAX_REPLICAS = 1.1, 4
 #: Lists of a query: within this ratio of its nearest, at most so many.
 PROBE_RATIO, MAX_PROBES = 1.6, 48
-#: Rows of a block of a list, and of the queries of a list.
-BLOCK, QUERY_BLOCK = 4096, 1024
+#: Rows of a block of a list, and of the queries of a list, and queries scored at once.
+BLOCK, QUERY_BLOCK, SCORED = 4096, 16_384, 512
+#: Groups of lists of the second pass: so many, and one more for so many vectors.
+GROUPS, GROUP_SIZE = 64, 16_384
 
 
 @dataclass
@@ -80,7 +86,18 @@ class Centroids:
 def fit(sample: np.ndarray, n_lists: int, top: float, rounds: int = 8, seed: int = 5) -> Centroids:
     """Centroids by Lloyd's rounds over the sample; an empty cluster takes the farthest point."""
     blank = Centroids(np.zeros((0, 0)), np.zeros((0, 0), dtype=int), top)
-    points = blank.lifted(sample, query=False)
+    centers = cluster(blank.lifted(sample, query=False), n_lists, rounds, seed)
+    degree = min(DEGREE, len(centers))
+    square = (centers**2).sum(axis=1)
+    links = [
+        np.argsort(square - 2 * centers[i] @ centers.T, kind="stable")[:degree] for i in range(len(centers))
+    ]
+    # A ring through all centroids keeps the graph connected.
+    ring = (np.arange(len(centers)) + 1) % len(centers)
+    return Centroids(centers, np.hstack([np.array(links), ring[:, None]]), top)
+
+
+def cluster(points: np.ndarray, n_lists: int, rounds: int = 8, seed: int = 5) -> np.ndarray:
     rng = np.random.default_rng(seed)
     centers = points[rng.choice(len(points), size=min(n_lists, len(points)), replace=False)]
     for _ in range(rounds):
@@ -91,14 +108,7 @@ def fit(sample: np.ndarray, n_lists: int, top: float, rounds: int = 8, seed: int
         centers = np.where(n[:, None] > 0, total / np.maximum(n, 1)[:, None], centers)
         empty = np.flatnonzero(n == 0)
         centers[empty] = points[np.argsort(-gap, kind="stable")[: len(empty)]]
-    degree = min(DEGREE, len(centers))
-    square = (centers**2).sum(axis=1)
-    links = [
-        np.argsort(square - 2 * centers[i] @ centers.T, kind="stable")[:degree] for i in range(len(centers))
-    ]
-    # A ring through all centroids keeps the graph connected.
-    ring = (np.arange(len(centers)) + 1) % len(centers)
-    return Centroids(centers, np.hstack([np.array(links), ring[:, None]]), top)
+    return centers
 
 
 def _closest(points: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -147,7 +157,8 @@ def usable(embeddings: DataFrame, dims: int | None = None) -> DataFrame:
 
 
 def _lists(rows: DataFrame, centroids, n: int, ratio: float, query: bool) -> DataFrame:
-    """Every row once for each of its lists, nearest first: all its columns and ``list``."""
+    """Every row once for each of its lists, nearest first: all its columns, ``list``, ``gap`` and
+    whether the list is its ``first``."""
     names = rows.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,13 +172,52 @@ def _lists(rows: DataFrame, centroids, n: int, ratio: float, query: bool) -> Dat
                 row, at = np.nonzero(keep)
                 out = batch.take(pa.array(row))
                 yield pa.RecordBatch.from_arrays(
-                    [*out.columns, pa.array(found[row, at].astype(np.int32))], [*names, "list"]
+                    [*out.columns, pa.array(found[row, at].astype(np.int32)), pa.array(gap[row, at]), pa.array(at == 0)],
+                    [*names, "list", "gap", "first"],
                 )
 
-    schema = ", ".join(f"{k} {t}" for k, t in rows.dtypes) + ", list int"
+    schema = ", ".join(f"{k} {t}" for k, t in rows.dtypes) + ", list int, gap double, first boolean"
     return rows.mapInArrow(run, schema)
 
 
+def _unread(queries: DataFrame, centroids, radii: np.ndarray, groups: np.ndarray) -> DataFrame:
+    """``key``, ``vector`` and ``list`` (a group) of what ``queries`` must still read.
+
+    ``queries`` has key, vector, lists (those read) and least (the score of the last place, null
+    if places are empty). ``radii`` are those of the lists, negative for one without vectors.
+    """
+    shipped = queries.sparkSession.sparkContext.broadcast((radii, groups))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index: Centroids = centroids.value
+        radius, group = shipped.value
+        n_groups, top = int(group.max()) + 1, np.sqrt(index.top)
+        for whole in batches:
+            for a in range(0, whole.num_rows, 256):
+                batch = whole.slice(a, 256)
+                vectors = _matrix(batch.column(1))
+                lifted = index.lifted(vectors, True)
+                score = batch.column(3).to_numpy(zero_copy_only=False).astype(np.float64)
+                cosine = top * score / np.sqrt((vectors**2).sum(axis=1))
+                reach = np.where(np.isnan(score), np.inf, np.sqrt(np.maximum(2 * index.top - 2 * cosine, 0)))
+                square = (lifted**2).sum(axis=1)[:, None] + (index.points**2).sum(axis=1) - 2 * lifted @ index.points.T
+                gap = np.sqrt(np.maximum(square, 0))
+                # Room for rounding, also for that of the square root of a small difference.
+                open_ = (gap - radius <= reach[:, None] + 1e-6 * top) & (radius >= 0)
+                for i, read in enumerate(batch.column(2).to_pylist()):
+                    open_[i, read] = False
+                wanted = np.zeros((batch.num_rows, n_groups), dtype=bool)
+                row, at = np.nonzero(open_)
+                wanted[row, group[at]] = True
+                row, at = np.nonzero(wanted)
+                out = batch.take(pa.array(row))
+                yield pa.RecordBatch.from_arrays(
+                    [out.column(0), out.column(1), pa.array(at.astype(np.int32))], ["key", "vector", "list"]
+                )
+
+    return queries.select("key", "vector", "lists", "least").mapInArrow(run, "key binary, vector binary, list int")
+
+
 def _search(postings: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """(query, key, least, score): per query and block the ``k`` + 1 nearest vectors."""
     n_blocks = postings.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
@@ -189,18 +239,23 @@ def _search(postings: DataFrame, queries: DataFrame, k: int) -> DataFrame:
             return schema.empty_table()
         v, q = _matrix(block["vector"].combine_chunks()), _matrix(asked["vector"].combine_chunks())
         least = block["least"].to_numpy()
-        near = q @ v.T
         n = min(k + 1, len(v))
-        # The last place may be tied: all that reach its score stay until the order is exact.
-        cut = np.partition(near, len(v) - n, axis=1)[:, len(v) - n]
-        row, at = np.nonzero(near >= cut[:, None] - 1e-9 * (1 + np.abs(cut[:, None])))
-        exact = np.einsum("ij,ij->i", q[row], v[at])
-        order = np.lexsort((least[at], -exact, row))
-        row, at, exact = row[order], at[order], exact[order]
-        place = np.arange(len(row)) - np.searchsorted(row, row)
-        row, at, exact = row[place < n], at[place < n], exact[place < n]
         keys, asks = block["key"].combine_chunks(), asked["key"].combine_chunks()
-        return pa.table([asks.take(pa.array(row)), keys.take(pa.array(at)), pa.array(least[at]), pa.array(exact)], schema=schema)
+        out = []
+        for a in range(0, len(q), SCORED):
+            some = q[a : a + SCORED]
+            near = some @ v.T
+            # The last place may be tied: all that reach its score stay until the order is exact.
+            cut = np.partition(near, len(v) - n, axis=1)[:, len(v) - n]
+            row, at = np.nonzero(near >= cut[:, None] - 1e-9 * (1 + np.abs(cut[:, None])))
+            exact = np.einsum("ij,ij->i", some[row], v[at])
+            order = np.lexsort((least[at], -exact, row))
+            row, at, exact = row[order], at[order], exact[order]
+            place = np.arange(len(row)) - np.searchsorted(row, row)
+            row, at, exact = row[place < n], at[place < n], exact[place < n]
+            columns = [asks.take(pa.array(a + row)), keys.take(pa.array(at)), pa.array(least[at]), pa.array(exact)]
+            out.append(pa.table(columns, schema=schema))
+        return pa.concat_tables(out)
 
     grouped = left.groupBy(*by).cogroup(right.groupBy(*by))
     return grouped.applyInArrow(score, "query binary, key binary, least long, score double")
@@ -210,11 +265,11 @@ def nearest(
     embeddings: DataFrame, k: int = 20, every: int = 20, max_probes: int = MAX_PROBES,
     probe_ratio: float = PROBE_RATIO, list_size: int = LIST_SIZE,
 ) -> DataFrame:
-    """query_id, rank, vec_id and score of the ``k`` nearest other rows found for every query.
+    """query_id, rank, vec_id and score of the ``k`` nearest other rows of every query.
 
     Queries are the rows whose vec_id is a multiple of ``every``. Equal vectors are indexed
     once, with their ``k`` + 1 smallest ids: no others can be among a query's nearest. Ties go
-    to the smaller id. A query that its lists do not give ``k`` rows reads all lists. Repeated
+    to the smaller id. ``max_probes`` and ``probe_ratio`` bound the first pass alone. Repeated
     rows count once. What ``usable`` leaves out is neither query nor candidate; extra columns are
     ignored; a table without vectors gives no rows.
     """
@@ -227,6 +282,7 @@ def nearest(
     vectors = land(vectors.join(ids, "key"), "distinct")
     facts = base.agg(F.max("norm").alias("top")).first()
     n = vectors.count()
+    n_ids = ids.agg(F.sum(F.size("ids"))).first()[0]
     none = "query_id long, rank int, vec_id long, score double"
     if not n:
         return spark.createDataFrame([], none)
@@ -240,14 +296,24 @@ def nearest(
     asked = base.where(F.pmod("vec_id", F.lit(every)) == 0).select("vec_id", "key", "vector")
     queries = asked.groupBy("key").agg(F.first("vector").alias("vector"))
     probes = land(_lists(queries, centroids, max_probes, probe_ratio, True), "probes")
-    found = land(_best(_search(postings, probes, k), vectors, k), "found")
-
-    whole = min(k, n - 1)
-    short = queries.join(found.where(F.size("near") <= whole).select(F.col("query").alias("key")), "key", "left_semi")
-    if not short.isEmpty():
-        every_list = short.withColumn("list", F.explode(F.sequence(F.lit(0), F.lit(len(index.points) - 1))))
-        again = _best(_search(postings, every_list, k), vectors, k)
-        found = found.join(short.select(F.col("key").alias("query")), "query", "left_anti").unionByName(again)
+    hits = land(_search(postings, probes, k), "hits")
+    found = land(_best(hits, vectors, k), "found")
+
+    # Every vector stands in its first list, so the radii and the second pass need no replicas.
+    radii, whole = np.full(len(index.points), -1.0), min(k + 1, n_ids)
+    for r in postings.where("first").groupBy("list").agg(F.max("gap").alias("radius")).collect():
+        radii[r["list"]] = r["radius"]
+    n_groups = min(len(index.points), GROUPS + n // GROUP_SIZE)
+    groups = _closest(index.points, cluster(index.points, n_groups))[0]
+    last = F.when(F.size("near") >= whole, F.element_at("near", -1)["score"])
+    read = probes.groupBy("key").agg(F.first("vector").alias("vector"), F.collect_list("list").alias("lists"))
+    read = read.join(found.select(F.col("query").alias("key"), last.alias("least")), "key", "left")
+    more = land(_unread(read, centroids, radii, groups), "unread")
+    if not more.isEmpty():
+        group_of = F.get(F.array(*(F.lit(int(g)) for g in groups)), F.col("list"))
+        grouped = postings.where("first").select("key", "vector", "least", group_of.alias("list"))
+        again = _search(grouped, more, k)
+        found = land(_best(hits.unionByName(again), vectors, k), "found")
     asked_ids = asked.select(F.col("vec_id").alias("query_id"), F.col("key").alias("query")).distinct()
     others = F.slice(F.filter("near", lambda x: x["vec_id"] != F.col("query_id")), 1, k)
     return asked_ids.join(found, "query").select("query_id", F.posexplode(others).alias("at", "x")).select(

@@ -192,6 +192,20 @@ def test_nearest_neighbours(spark):
     assert neighbours.nearest(table.limit(0)).count() == 0
 
 
+def test_neighbours_are_exact_over_hundreds_of_lists(spark):
+    prepare(spark)
+    v = np.random.default_rng(7).normal(size=(8000, 64))
+    v = (v / np.linalg.norm(v, axis=1, keepdims=True)).astype(np.float32)
+    table = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<float>")
+    found = neighbours.nearest(table, every=200, list_size=20).collect()
+    exact, want = v.astype(float), set()
+    for q in range(0, len(v), 200):
+        score = exact @ exact[q]
+        score[q] = -np.inf
+        want |= {(q, rank + 1, int(i)) for rank, i in enumerate(np.lexsort((np.arange(len(v)), -score))[:20])}
+    assert {(r.query_id, r.rank, r.vec_id) for r in found} == want
+
+
 def test_few_vectors_are_all_found(spark):
     prepare(spark)
     few = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(5)], "vec_id long, embedding array<float>")
