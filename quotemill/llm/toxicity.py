@@ -20,14 +20,13 @@ import re
 from collections import Counter
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotemill.llm.shared import land, map_batches, texts_of
 
-#: Bounds of the classifier: labelled documents it is fitted on, and entries of its lexicon.
+#: Bound of the classifier: labelled documents it is fitted on.
 MAX_TRAINING_ROWS = 20_000
-MAX_ENTRIES = 20_000
 
 #: An entry needs so many toxic training documents, such odds, and so much evidence (G squared)
 #: that by chance FALSE_ENTRIES of all candidates would have it.
@@ -148,49 +147,47 @@ def held_out(doc_id):
 def learn(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -> tuple[dict[str, float], float]:
     """Lexicon (entry to odds) and the probability of a document without any match.
 
-    Without toxic training rows the lexicon is empty. Candidates are the entries of
-    enough toxic documents, at most ``MAX_ENTRIES``; only these are counted in the others.
+    Without toxic training rows the lexicon is empty. Candidates are all entries of enough
+    toxic documents. Only those with the odds are collected.
     """
     rows = land(training_rows(docs, labels, max_rows), "toxic")
     n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n_toxic, n_clean = n.get(True, 0), n.get(False, 0)
     if not n_toxic:
         return {}, 0.0
-    toxic = _document_counts(rows.where("toxic"), None).where(F.col("n") >= MIN_TOXIC_DOCS)
-    wanted = {r["entry"]: r["n"] for r in toxic.orderBy(F.desc("n"), "entry").limit(MAX_ENTRIES).collect()}
-    clean = {r["entry"]: r["n"] for r in _document_counts(rows.where("not toxic"), frozenset(wanted)).collect()}
-    least = 2 * math.log(max(2, len(wanted)) / FALSE_ENTRIES)
-    lexicon = {}
-    for entry, t in wanted.items():
-        c = clean.get(entry, 0)
-        odds = (t + 0.5) / (c + 0.5)
-        if odds >= MIN_ODDS and t * n_clean > c * n_toxic and evidence(t, n_toxic, c, n_clean) >= least:
-            lexicon[entry] = odds
+    candidates = land(_document_counts(rows).where(F.col("t") >= MIN_TOXIC_DOCS), "candidates")
+    least = 2 * math.log(max(2, candidates.count()) / FALSE_ENTRIES)
+    odds = (F.col("t") + 0.5) / (F.col("c") + 0.5)
+    passing = candidates.withColumn("odds", odds).where(
+        (F.col("odds") >= MIN_ODDS) & (F.col("t") * n_clean > F.col("c") * n_toxic)
+        & (evidence(F.col("t"), n_toxic, F.col("c"), n_clean) >= least)
+    )
+    lexicon = {r["entry"]: r["odds"] for r in passing.select("entry", "odds").collect()}
     return lexicon, 0.5 / (1 + n_clean / max(1, n_toxic))
 
 
-def evidence(t: int, n_toxic: int, c: int, n_clean: int) -> float:
+def evidence(t: Column, n_toxic: int, c: Column, n_clean: int) -> Column:
     """G squared of entry against label."""
-    cells = [[t, n_toxic - t], [c, n_clean - c]]
-    total, g = n_toxic + n_clean, 0.0
-    for row in cells:
-        for j, seen in enumerate(row):
-            if seen:
-                g += seen * math.log(seen * total / (sum(row) * (cells[0][j] + cells[1][j])))
+    total, g = n_toxic + n_clean, F.lit(0.0)
+    for n, seen in ((n_toxic, t), (n_clean, c)):
+        for cell, column in ((seen, t + c), (n - seen, total - t - c)):
+            g += F.when(cell > 0, cell * F.log(cell * total / (n * column))).otherwise(0.0)
     return 2 * g
 
 
-def _document_counts(rows: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
-    """In how many documents each entry stands; counted per batch before the shuffle."""
+def _document_counts(rows: DataFrame) -> DataFrame:
+    """In how many toxic (t) and clean (c) documents each entry stands; counted per batch before the shuffle."""
 
     def make(batch: pa.RecordBatch) -> dict:
-        counts: Counter[str] = Counter()
-        for text in texts_of(batch.column(0)):
-            found = {f for w in set(TOKEN.findall(text.decode().lower())) for f in features(w)}
-            counts.update(found if wanted is None else found & wanted)
-        return {"entry": pa.array(list(counts), pa.string()), "n": pa.array(list(counts.values()), pa.int64())}
-
-    return map_batches(rows.select("text"), "entry string, n long", make).groupBy("entry").agg(F.sum("n").alias("n"))
+        counts: tuple[Counter[str], Counter[str]] = Counter(), Counter()
+        for toxic, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1))):
+            counts[not toxic].update({f for w in set(TOKEN.findall(text.decode().lower())) for f in features(w)})
+        entries = list(counts[0] | counts[1])
+        t, c = (pa.array([n[e] for e in entries], pa.int64()) for n in counts)
+        return {"entry": pa.array(entries, pa.string()), "t": t, "c": c}
+
+    counted = map_batches(rows.select("toxic", "text"), "entry string, t long, c long", make)
+    return counted.groupBy("entry").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
 
 
 def score_documents(docs: DataFrame, lexicon: dict[str, float], blank: float) -> DataFrame:

@@ -311,6 +311,17 @@ def test_toxicity(spark, empty):
     assert {r.predicted for r in toxicity.toxicity(docs, labels.limit(0)).collect()} == {0}
 
 
+def test_rare_insult_among_many_common_words(spark):
+    prepare(spark)
+    letters = "abcdefghijk"
+    common = " ".join(a + b + c + d for a in letters for b in letters for c in letters for d in letters)  # 29,282 entries with stems
+    some = [(i, common + (" grobian" if i % 4 == 0 else "")) for i in range(100)]
+    docs = spark.createDataFrame(some, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 2 == 0)) for i in range(100)], "doc_id long, toxic int")
+    lexicon, _ = toxicity.learn(docs, labels)
+    assert set(lexicon) == {"grobian", "grob*", "grobi*", "grobia*"}
+
+
 def test_clause_grammar():
     lexicon, known = {"dolt": 8.0}, {}
     plain, aimed, not_so, reported = (
