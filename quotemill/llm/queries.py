@@ -54,7 +54,7 @@ def op6_bpe(spark, sf_dir):
 
 
 def op7_sentence_spans(spark, sf_dir):
-    return sentence_spans.remove_repeats(_table(spark, sf_dir, "documents"))
+    return sentence_spans.remove_repeats(_table(spark, sf_dir, "documents"), tails=True)
 
 
 def op8_toxicity(spark, sf_dir):

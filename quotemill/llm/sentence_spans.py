@@ -1,7 +1,8 @@
 """Substring dedup by sliding sentence spans.
 
-A span is a run of consecutive sentences: from each sentence on, the shortest run of at
-least ``MIN_SENTENCES`` sentences and ``MIN_WORDS`` words. Spans with equal words are joined
+A span is a run of consecutive sentences: from each sentence on, and with ``tails`` also up to
+each sentence, the shortest run of at least ``MIN_SENTENCES`` sentences and ``MIN_WORDS`` words.
+Together they cover every longer run that repeats. Spans with equal words are joined
 over all documents, and every sentence that a span other than its first occurrence covers is
 removed. The first occurrence is the one with the smallest doc_id, text key and place.
 """
@@ -19,8 +20,11 @@ from quotemill.llm.shared import MIX, land, map_batches, parts, row_key, texts_o
 
 MIN_SENTENCES = 2
 MIN_WORDS = 25
-#: A longer sentence counts as several, cut after every so many words.
+#: A longer sentence counts as several. Of every ``WINDOW`` consecutive words in it, a piece begins
+#: at the one with the least hash (the last such), so equal passages are cut alike wherever they
+#: stand: of a passage of 2 * WINDOW + MIN_WORDS words, a run of MIN_WORDS is cut out alike.
 LONG_SENTENCE = 25
+WINDOW = 12
 
 SENTENCE = re.compile(rb"[^.!?\n]+[.!?\n]*[ \t-\r]*|[.!?\n]+[ \t-\r]*")
 WORD = re.compile(rb"[^ \t-\r]+[ \t-\r]*")
@@ -36,11 +40,20 @@ def sentences(text: bytes) -> list[bytes]:
             continue
         lead = sentence[: len(sentence) - sum(map(len, words))]
         words[0] = lead + words[0]
-        out += [b"".join(words[i : i + LONG_SENTENCE]) for i in range(0, len(words), LONG_SENTENCE)]
+        cuts = [0, *_cuts(words), len(words)]
+        out += [b"".join(words[a:b]) for a, b in zip(cuts, cuts[1:]) if a < b]
     return out
 
 
-def spans(texts: list[bytes], min_sentences: int, min_words: int) -> tuple[np.ndarray, ...]:
+def _cuts(words: list[bytes]) -> list[int]:
+    """Places of the words that begin a piece, after the first."""
+    h = word_hashes([w.strip().lower() for w in words])
+    windows = np.lib.stride_tricks.sliding_window_view(h, WINDOW)
+    least = np.unique(np.arange(len(windows)) + WINDOW - 1 - windows[:, ::-1].argmin(axis=1))
+    return least[least > 0].tolist()
+
+
+def spans(texts: list[bytes], min_sentences: int, min_words: int, tails: bool = False) -> tuple[np.ndarray, ...]:
     """Owner (place in ``texts``), first sentence, sentences and two hashes of each span."""
     cut = [[s.lower().split() for s in sentences(t)] for t in texts]
     sizes = np.array([len(c) for c in cut], dtype=np.int64)
@@ -51,10 +64,16 @@ def spans(texts: list[bytes], min_sentences: int, min_words: int) -> tuple[np.nd
     h = word_hashes([b" ".join(w) for w in flat])
     total = np.concatenate([[0], np.cumsum(n_words)])
     at = np.arange(len(flat))
+    until = np.cumsum(sizes)[owner] if len(flat) else at
+    since = until - sizes[owner] if len(flat) else at
     end = np.maximum(at + min_sentences, np.searchsorted(total, total[:-1] + min_words))
-    last = np.cumsum(sizes)[owner] if len(flat) else at
-    good = (end <= last) & (n_words > 0)
-    at, end, owner = at[good], end[good], owner[good]
+    good = (end <= until) & (n_words > 0)
+    # The shortest run up to each sentence, where it is not the shortest from its own start too.
+    first = np.minimum(at + 1 - min_sentences, np.searchsorted(total, total[1:] - min_words, side="right") - 1)
+    tail = (first >= since) & (n_words > 0) & tails
+    tail[tail] = (end[first[tail]] != at[tail] + 1) | ~good[first[tail]]
+    at, end = np.concatenate([at[good], first[tail]]), np.concatenate([end[good], at[tail] + 1])
+    owner = np.concatenate([owner[good], owner[tail]])
     hashes = []
     for base, salt in ((MIX, np.uint64(1)), (SECOND, np.uint64(3))):
         longest = int((end - at).max()) if len(at) else 0
@@ -70,14 +89,14 @@ def spans(texts: list[bytes], min_sentences: int, min_words: int) -> tuple[np.nd
 
 
 def repeated_spans(
-    docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS
+    docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS, tails: bool = False
 ) -> DataFrame:
     """doc_id, text key and the sentences (places from 0) of a document that repeat an earlier one."""
     keyed = docs.select(docs["doc_id"].cast("long").alias("doc_id"), row_key().alias("text_key"), "text")
 
     def make(batch: pa.RecordBatch) -> dict:
         texts = texts_of(batch.column(2))
-        found = [[a + x[0], *x[1:]] for a, b in parts(texts) for x in [spans(texts[a:b], min_sentences, min_words)]]
+        found = [[a + x[0], *x[1:]] for a, b in parts(texts) for x in [spans(texts[a:b], min_sentences, min_words, tails)]]
         owner, first, n, h1, h2 = (np.concatenate(x) for x in zip(*found))
         return {
             "doc_id": batch.column(0).take(pa.array(owner)), "text_key": batch.column(1).take(pa.array(owner)),
@@ -97,15 +116,16 @@ def repeated_spans(
 
 
 def remove_repeats(
-    docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS
+    docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS, tails: bool = False
 ) -> DataFrame:
     """doc_id, n_sentences, n_removed, removed (whether any) and the remaining text of every row.
 
     Rows that share doc_id and text are one document, written twice: they get the same
     result. A null or empty text has no sentences and remains empty. Null ids are an id,
-    the smallest. Extra columns are ignored. An empty table gives no rows.
+    the smallest. Extra columns are ignored. An empty table gives no rows. Without ``tails``
+    the last sentences of a repeated run stay if the last run that fits ends before them.
     """
-    removed = repeated_spans(docs, min_sentences, min_words)
+    removed = repeated_spans(docs, min_sentences, min_words, tails)
     keyed = docs.select(docs["doc_id"].cast("long").alias("doc_id"), row_key().alias("text_key"), "text")
     same = keyed["doc_id"].eqNullSafe(removed["doc_id"]) & (keyed["text_key"] == removed["text_key"])
     marked = keyed.join(removed, same, "left").select(keyed["doc_id"], "text", "removed")

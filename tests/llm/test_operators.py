@@ -295,6 +295,29 @@ def test_sentence_spans(docs, rows, empty):
     assert sentence_spans.remove_repeats(empty).count() == 0
 
 
+def test_every_repeated_run_of_sentences_goes(spark):
+    prepare(spark)
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    say = lambda n, end="": " ".join(word() for _ in range(n)) + end
+    long_one, ended = say(60), " ".join(say(n, ".") for n in (20, 9, 3, 14, 2, 30, 5, 4))
+    made = [f"{say(30 + i)} {long_one} {say(40)}. {say(7, '.')} {ended} {say(9, '.')}" for i in range(12)]
+    docs = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
+    found = {r.doc_id: r.text for r in sentence_spans.remove_repeats(docs, tails=True).collect()}
+    seen = {}
+    for i, text in enumerate(made):
+        cut, gone = sentence_spans.sentences(text.encode()), set()
+        words = [s.lower().split() for s in cut]
+        for a in range(len(cut)):
+            for b in range(a + sentence_spans.MIN_SENTENCES, len(cut) + 1):
+                if sum(map(len, words[a:b])) >= sentence_spans.MIN_WORDS:
+                    if seen.setdefault(str(words[a:b]), (i, a)) != (i, a):
+                        gone |= set(range(a, b))
+        assert found[i] == b"".join(s for k, s in enumerate(cut) if k not in gone).decode()
+        assert not i or len(set(long_one.split()) & set(found[i].split())) <= 2 * sentence_spans.WINDOW
+        assert not i or not set(ended.replace(".", "").split()) & set(found[i].replace(".", "").split())
+
+
 def test_toxicity(spark, empty):
     prepare(spark)
     rng = random.Random(2)
