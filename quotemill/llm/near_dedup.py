@@ -12,6 +12,7 @@ that could join two components is compared, and once.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 import numpy as np
@@ -27,18 +28,39 @@ from quotemill.llm.shared import (
 )
 
 SHINGLE = 5
-#: A pair at 85 % agrees on a band with probability 0.444; all 25 bands miss it once in 2,300,000.
-BANDS, ROWS = 25, 5
+#: All bands miss a pair as similar as asked once in so many at most, and so does the signature.
+MISS = 2_000_000
+#: Minima of a band, if the bands it takes fit into a signature; else fewer.
+ROWS = 5
 SEED = 7
-#: Minima of a signature. Those of texts as similar as asked agree in a share that a threshold
-#: of so many standard deviations below the expected one misses once in 300,000. The lowest byte
-#: of a minimum stands for it: equal minima stay equal, others agree once in 256.
-MINIMA, DEVIATIONS = 200, 4.5
+#: Minima of a signature, more only if bands of one row need them. The lowest byte of a
+#: minimum stands for it: equal minima stay equal, others agree once in 256.
+MINIMA = 200
 #: Hubs of a bucket: one at first, so many times more in each later round, and at most so many,
 #: for up to which Spark ranks within each partition before it shuffles.
 MORE_HUBS, MOST_HUBS = 16, 1000
 
 
+def banding(percent: int) -> tuple[int, int]:
+    """Bands and rows for pairs at ``percent``: at 85, 25 bands of 5 rows."""
+    for rows in range(ROWS, 0, -1):
+        agree = (percent / 100) ** rows
+        bands = 1 if agree == 1 else math.ceil(-math.log(MISS) / math.log1p(-agree))
+        if bands * rows <= MINIMA:
+            break
+    return bands, rows
+
+
+def least_agreeing(percent: int, n_hashes: int) -> int:
+    """The most minima of which pairs at ``percent`` agree on fewer once in ``MISS`` at most."""
+    s, below = percent / 100, 0.0
+    for k in range(n_hashes + 1):
+        below += math.comb(n_hashes, k) * s**k * (1 - s) ** (n_hashes - k)
+        if below > 1 / MISS:
+            return k
+    return n_hashes
+
+
 def shingles(texts: list[bytes], n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the distinct shingles of each text, sorted within it, and where each text's end.
 
@@ -117,7 +139,7 @@ def prints(docs: DataFrame, n: int = SHINGLE, n_hashes: int = MINIMA) -> DataFra
     return map_batches(keyed, schema, make)
 
 
-def buckets(classes: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+def buckets(classes: DataFrame, bands: int, rows: int) -> DataFrame:
     """(band, bucket, class, n_shingles, weight) for buckets of at least two classes.
 
     ``weight`` is how many classes a class meets in all its buckets: the text that
@@ -138,15 +160,14 @@ def _close(a: Column, b: Column, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def _agree(a: Column, b: Column, percent: int, n_hashes: int = MINIMA) -> Column:
+def _agree(a: Column, b: Column, percent: int, n_hashes: int) -> Column:
     """Signature verification: minima agree as often as the similarity makes likely."""
-    s = percent / 100
-    least = n_hashes * s - DEVIATIONS * (n_hashes * s * (1 - s)) ** 0.5
+    least = least_agreeing(percent, n_hashes)
     same = F.zip_with(a, b, lambda x, y: (x == y).cast("int"))
     return F.aggregate(same, F.lit(0), lambda total, x: total + x) >= least
 
 
-def _first_shared(a: Column, b: Column, band: Column, rows: int = ROWS) -> Column:
+def _first_shared(a: Column, b: Column, band: Column, rows: int) -> Column:
     """Whether no band before this one is shared."""
     before = F.when(band > 0, F.sequence(F.lit(0), band - 1)).otherwise(F.array().cast("array<int>"))
     return F.forall(before, lambda i: F.slice(a, i * rows + 1, F.lit(rows)) != F.slice(b, i * rows + 1, F.lit(rows)))
@@ -196,7 +217,9 @@ def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: in
 
 def links(docs: DataFrame, classes: DataFrame, percent: int, n: int = SHINGLE) -> DataFrame:
     """(class, component): the smallest class of the component, for classes with a link."""
-    members = land(buckets(classes), "buckets")
+    bands, band_rows = banding(percent)
+    n_hashes = max(MINIMA, bands * band_rows)
+    members = land(buckets(classes, bands, band_rows), "buckets")
     columns = members.columns
     signature = classes.select("class", "signature")
     joined = None
@@ -221,8 +244,8 @@ def links(docs: DataFrame, classes: DataFrame, percent: int, n: int = SHINGLE) -
         worth = (
             (ranked["bucket"] == hub["bucket"]) & (F.col("place") != F.col("pu"))
             & (F.col("hub").isNull() | (F.col("hub") > F.col("hu")))
-            & _close(F.col("n_shingles"), F.col("nu"), percent) & _agree(F.col("signature"), F.col("su"), percent)
-            & _first_shared(F.col("signature"), F.col("su"), F.col("band"))
+            & _close(F.col("n_shingles"), F.col("nu"), percent) & _agree(F.col("signature"), F.col("su"), percent, n_hashes)
+            & _first_shared(F.col("signature"), F.col("su"), F.col("band"), band_rows)
         )
         pairs = land(ranked.join(hub, worth).select("u", F.col("class").alias("v")), "pairs")
         new = land(confirmed(pairs, docs, classes, percent, n), "links")
@@ -246,7 +269,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, n: int = SHINGLE) -> Dat
     all kept or none; a null id names a component only if it has no other. Extra columns are
     ignored; an empty table gives no rows.
     """
-    rows = land(prints(docs, n), "prints")
+    bands, band_rows = banding(percent)
+    rows = land(prints(docs, n, max(MINIMA, bands * band_rows)), "prints")
     worded = rows.where("n_shingles > 0")
     least = worded.groupBy("class").agg(
         F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"),

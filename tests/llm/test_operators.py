@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -91,6 +92,15 @@ def test_near_duplicates(docs, rows, empty):
     assert near_dedup.near_duplicates(empty).count() == 0
 
 
+@pytest.mark.parametrize("percent", [5, 50, 70, 80, 85, 95, 100])
+def test_bands_and_signatures_miss_as_stated(percent):
+    bands, rows = near_dedup.banding(percent)
+    n, s = max(near_dedup.MINIMA, bands * rows), percent / 100
+    assert (1 - s**rows) ** bands <= 1 / near_dedup.MISS
+    below = sum(math.comb(n, k) * s**k * (1 - s) ** (n - k) for k in range(near_dedup.least_agreeing(percent, n)))
+    assert below <= 1 / near_dedup.MISS
+
+
 def test_one_document_of_each_group_stays(docs):
     kept = near_dedup.keep_one(docs)
     assert kept.columns == docs.columns
