@@ -269,36 +269,48 @@ def near_duplicates(docs: DataFrame, percent: int = 85, n: int = SHINGLE) -> Dat
     all kept or none; a null id names a component only if it has no other. Extra columns are
     ignored; an empty table gives no rows.
     """
+    return _placed(docs, percent, n).drop("stays")
+
+
+def _placed(docs: DataFrame, percent: int, n: int) -> DataFrame:
+    """``near_duplicates`` and ``stays``: whether the row has the least doc_id (null last) and text
+    key of its component."""
     bands, band_rows = banding(percent)
     rows = land(prints(docs, n, max(MINIMA, bands * band_rows)), "prints")
     worded = rows.where("n_shingles > 0")
     least = worded.groupBy("class").agg(
         F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"),
         F.min(F.struct("doc_id", "text_key")).alias("least"), F.min("doc_id").alias("name"),
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("keeper"),
     )
-    classes = land(least.select("class", "n_shingles", "signature", "least.doc_id", "least.text_key", "name"), "classes")
+    classes = land(least.select("class", "n_shingles", "signature", "least.doc_id", "least.text_key", "name", "keeper"), "classes")
     joined = links(docs, classes, percent, n)
-    ids = classes.select("class", "name").join(joined, "class", "left")
+    ids = classes.select("class", "name", "keeper").join(joined, "class", "left")
     ids = ids.withColumn("component", F.coalesce("component", "class"))
-    names = ids.groupBy("component").agg(F.min("name").alias("component_id"))
-    named = ids.join(names, "component").select("class", "component_id")
+    names = ids.drop("keeper").join(
+        ids.groupBy("component").agg(F.min("name").alias("component_id"), F.min("keeper").alias("keeper")), "component"
+    )
+    named = names.select("class", "component_id", "keeper")
     placed = rows.join(named, "class", "left").withColumn(
         "component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     )
     return placed.select(
         "doc_id", "text_key", "n_shingles", "component_id",
         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
-    )
+        ((F.col("n_shingles") == 0) | (
+            F.col("doc_id").eqNullSafe(F.col("keeper.doc_id")) & (F.col("text_key") == F.col("keeper.text_key"))
+        )).alias("stays"),
+    )
 
 
 def keep_one(docs: DataFrame, percent: int = 85, n: int = SHINGLE) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: one document of each group stays, as it is.
 
-    Of repeated rows of that document one stays; texts without words are all kept. A bitmap of
+    It is the one with the least doc_id (null last) and text key. Of repeated rows of that document one stays; texts without words are all kept. A bitmap of
     fixed size over the rows that go keeps nearly all others out of the shuffle.
     """
-    found = near_duplicates(docs, percent, n).groupBy("doc_id", "text_key").agg(
-        F.bool_or("kept").alias("_kept"), (F.count("*") > 1).alias("_again"), F.max("n_shingles").alias("_n")
+    found = _placed(docs, percent, n).groupBy("doc_id", "text_key").agg(
+        F.bool_or("stays").alias("_kept"), (F.count("*") > 1).alias("_again"), F.max("n_shingles").alias("_n")
     )
     odd = land(found.where(~F.col("_kept") | (F.col("_again") & (F.col("_n") > 0))), "odd")
     keyed = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_key": row_key()})

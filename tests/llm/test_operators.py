@@ -107,6 +107,17 @@ def test_one_document_of_each_group_stays(docs):
     assert pairs_of(kept.where("doc_id in (4, 5, 6, 7, 8, 9, 10)"), "doc_id") == {(4,): 1, (6,): 1, (8,): 1}
 
 
+def test_variants_under_null_and_equal_ids_leave_one(spark):
+    prepare(spark)
+    rng = random.Random(9)
+    base = [[f"{rng.random():.9f}" for _ in range(400)] for _ in range(3)]
+    ids = [[None] * 4, [7] * 4, [None, 9, 9, 8]]
+    rows = [(i, " ".join([*b, f"end{k}"]), g) for g, (b, some) in enumerate(zip(base, ids)) for k, i in enumerate(some)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, g int")
+    kept = near_dedup.keep_one(docs).collect()
+    assert sorted((r.g, r.doc_id) for r in kept) == [(0, None), (1, 7), (2, 8)]
+
+
 def test_components_of_a_path_a_star_and_a_loop(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(200, 200)]
     found = components.components(spark.createDataFrame(edges, "u int, v int")).collect()
