@@ -66,5 +66,65 @@ WITH base AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND NOT rejected AS kept
 FROM judged
+""",
+    "op11_collocations": r"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p
+  FROM documents
+), words AS (
+  SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM piece
+), total AS (
+  SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang
+), f AS (
+  SELECT lang, size, phrase, CAST(count(*) AS BIGINT) AS f FROM (
+    SELECT lang, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) AS phrase
+    FROM words, (VALUES (1), (2), (3), (4)) s(size) WHERE len(w) >= size
+  ) g GROUP BY ALL
+), candidate AS (
+  SELECT lang, size, phrase, string_split(phrase, ' ') AS w, f AS a FROM f WHERE size > 1 AND f >= 30
+), halves AS (
+  SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS rest
+  FROM candidate, (VALUES (1), (2), (3)) t(k) WHERE k < size
+), cut AS (
+  SELECT h.lang, h.phrase, h.a, h.k, x.f AS l, y.f AS r, CAST(CAST(2000000 AS HUGEINT) * h.a // (x.f + y.f) AS BIGINT) AS score
+  FROM halves h JOIN f x ON x.lang = h.lang AND x.phrase = h.head JOIN f y ON y.lang = h.lang AND y.phrase = h.rest
+), best AS (
+  SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inside AS (
+  SELECT lang, array_to_string(w[s:s + m - 1], ' ') AS phrase, max(a) AS longer
+  FROM candidate, (VALUES (1), (2), (3)) t(s), (VALUES (2), (3)) u(m) WHERE m < size AND s + m - 1 <= size GROUP BY ALL
+), kept AS (
+  SELECT b.* FROM best b LEFT JOIN inside i USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 80 * a
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+""",
+    "op12_decontamination": r"""
+WITH item AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), win AS (
+  SELECT DISTINCT item_id, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) AS win
+  FROM (SELECT item_id, w, least(len(w), 10) AS size FROM item WHERE len(w) > 0) i
+), doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), run AS (
+  SELECT doc_id, size, start, array_to_string(w[start:start + size - 1], ' ') AS win
+  FROM (SELECT doc_id, size, w, unnest(range(1, len(w) - size + 2)) AS start FROM doc, (SELECT DISTINCT size FROM win) s) r
+), found AS (
+  SELECT doc_id, start, size, win FROM run WHERE win IN (SELECT win FROM win)
+), hit AS (
+  SELECT doc_id, count(DISTINCT start + k) AS n_hit FROM found, range(0, 10) t(k) WHERE k < size GROUP BY doc_id
+), named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (
+    SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found JOIN win USING (win)
+  ) d GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """,
 }

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quotemill.llm import (
-    bpe, mixing, near_dedup, neighbours, quality, sentence_spans, suffix_dedup, token_output, toxicity, url_filter,
+    bpe, collocations, decontamination, mixing, near_dedup, neighbours, quality, sentence_spans, suffix_dedup,
+    token_output, toxicity, url_filter, whitening,
 )
 from quotemill.llm.shared import read, prepare
 
@@ -69,10 +70,23 @@ def op10_quality(spark, sf_dir):
     return quality.judge(_table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark, sf_dir):
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op12_decontamination(spark, sf_dir):
+    return decontamination.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_whitening(spark, sf_dir):
+    return whitening.whitened(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_url_filter, op2_near_dedup, op3_suffix_dedup, op4_mixing, op5_neighbours, op6_bpe,
         op7_sentence_spans, op8_toxicity, op9_token_output, op10_quality,
+        op11_collocations, op12_decontamination, op13_whitening,
     )
 }
