@@ -5,14 +5,15 @@
 2. One pass over all rows counts the proposals and their negative border: phrases that are not
    proposed but whose two parts one word shorter are (all single words, to begin with).
 3. A frequent phrase of the border is a *failure* of the sample. A frequent phrase that was not
-   counted contains a failure, so the next pass counts every phrase that contains one, and
-   with that the search is closed. The same pass counts the frequent phrases by their texts.
-
-Passes 1 and 2 count 64-bit keys: a task sorts the keys of many texts at once and sends one
-block of keys and counts to each of as many key ranges as the input's size asks for. Key counts
-are never below the phrase's, so nothing frequent is lost; the counts that are returned
-come from texts. Sets of keys go to the tasks as Bloom filters of at most ``MAX_BITS``: what they
-let through wrongly is counted too, and falls out with the rare.
+   counted contains a failure, so one more pass counts every phrase that contains one, and
+   with that the search is closed.
+
+Passes count 64-bit keys: a task sorts the keys of many texts at once and sends one block of keys,
+counts and witnesses to each of as many key ranges as the input's size asks for. A *witness* is a
+row in which the phrase stands: a last pass takes the text of each frequent phrase from its
+witness alone. One of F frequent phrases shares its key with one of D others once in 2^64 / (F D) times;
+its count is then too high. Sets of keys go to the tasks as Bloom filters of at most ``MAX_BITS``:
+what they let through wrongly is counted too, and falls out with the rare.
 """
 
 from __future__ import annotations
@@ -35,8 +36,6 @@ LONGEST, LEAST, KEEP_PERCENT, TOP, UNKNOWN = 4, 30, 80, 2000, "und"
 SAMPLE, MISS = 4, 0.05
 #: Bytes of text hashed at once, keys sorted at once, and keys of one range of keys.
 BLOCK, SORTED, RANGE = 1 << 20, 1 << 22, 1 << 21
-#: Phrases that a task holds with their texts, until a block later.
-NAMED = 1 << 18
 #: Bits of a filter, at most; bits for one key.
 MAX_BITS, BITS = 1 << 27, 32
 
@@ -74,7 +73,7 @@ class Words:
     ``skip`` words at the start were already there at the end of the block before.
     """
 
-    def __init__(self, text: bytes, first: list[int], langs: list[str], skip: int = 0) -> None:
+    def __init__(self, text: bytes, first: list[int], langs: list[str], rows: list[int], skip: int = 0) -> None:
         self.text, self.langs, self.skip = text, langs, skip
         b = np.frombuffer(text, dtype=np.uint8)
         border = b == BORDER
@@ -90,6 +89,7 @@ class Words:
         self.doc = np.searchsorted(first, self.starts, side="right") - 1
         names = np.array([xxhash.xxh3_64_intdigest(x.encode()) for x in langs], dtype=np.uint64)
         self.lang = names[self.doc]
+        self.row = np.array(rows, dtype=np.int64).astype(np.uint32)[self.doc]
 
     def keys(self) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each length the key of the phrase that starts at each word, and whether it is one:
@@ -110,26 +110,31 @@ class Words:
         return b" ".join(self.text[self.starts[at] : self.ends[at + size - 1]].split())
 
 
-def blocks(texts: list[bytes], langs: list[str]) -> Iterator[Words]:
+def blocks(texts: list[bytes], langs: list[str], rows: list[int]) -> Iterator[Words]:
     """All words of the texts, in blocks. A text longer than a block is cut between words, and a
     block begins with the last words of the block before, for the phrases over the cut."""
-    some, names, first, size = [], [], [], 0
-    for text, lang in zip(texts, langs):
+    some, size = [], 0
+
+    def made() -> Words:
+        ends = np.cumsum([len(text) + 1 for text, _, _ in some])
+        first = [0, *ends[:-1].tolist()]
+        found = b"\n".join(text for text, _, _ in some).translate(TABLE)
+        return Words(found, first, [lang for _, lang, _ in some], [row for _, _, row in some])
+
+    for text, lang, row in zip(texts, langs, rows):
         if len(text) > BLOCK:
-            yield from _cut(text.translate(TABLE), lang)
+            yield from _cut(text.translate(TABLE), lang, row)
             continue
-        if size + len(text) > BLOCK:
-            yield Words(b"\n".join(some).translate(TABLE), first, names)
-            some, names, first, size = [], [], [], 0
-        some.append(text)
-        names.append(lang)
-        first.append(size)
+        if some and size + len(text) > BLOCK:
+            yield made()
+            some, size = [], 0
+        some.append((text, lang, row))
         size += len(text) + 1
     if some:
-        yield Words(b"\n".join(some).translate(TABLE), first, names)
+        yield made()
 
 
-def _cut(text: bytes, lang: str) -> Iterator[Words]:
+def _cut(text: bytes, lang: str, row: int) -> Iterator[Words]:
     at, before = 0, []
     while at < len(text):
         end = min(at + BLOCK, len(text))
@@ -140,11 +145,15 @@ def _cut(text: bytes, lang: str) -> Iterator[Words]:
                 last = min(nexts, default=len(text))
             end = last
         block = b" ".join([*before, text[at:end]])
-        yield Words(block, [0], [lang], len(before))
+        yield Words(block, [0], [lang], [row], len(before))
         before = block.rpartition(b"\n")[2].rsplit(None, LONGEST - 1)[-(LONGEST - 1) :]
         at = end
 
 
+def _blocks_of(batch: pa.RecordBatch) -> Iterator[Words]:
+    return blocks(texts_of(batch.column(0)), batch.column(1).to_pylist(), batch.column(2).to_pylist())
+
+
 class Filter:
     """A Bloom filter of mixed 64-bit keys, made by Spark, held by every task."""
 
@@ -157,19 +166,24 @@ class Filter:
 
     @classmethod
     def of(cls, keys: DataFrame) -> Filter:
-        """At most ``MAX_BITS`` bits are made, whatever the number of keys."""
+        """Of the column key, or of keys with a row each. At most ``MAX_BITS`` bits are made, whatever the
+        number of keys."""
+        columns = ["key", "row"] if set(keys.columns) == {"key", "row"} else ["key"]
         bits = min(MAX_BITS, max(1 << 12, 1 << math.ceil(math.log2(max(1, keys.count()) * BITS))))
         shift = np.uint64(64 - int(math.log2(bits)))
 
         def run(batches):
             for batch in batches:
-                slots = cls.slots(batch.column(0).to_numpy().view(np.uint64), shift).ravel()
+                made = batch.column(0).to_numpy().view(np.uint64)
+                if len(columns) > 1:
+                    made = _witness(made, batch.column(1).to_numpy())
+                slots = cls.slots(made, shift).ravel()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array((slots >> np.uint64(6)).astype(np.int32)), pa.array(np.uint64(1) << (slots & np.uint64(63))).view(pa.int64())],
                     ["word", "bit"],
                 )
 
-        words = keys.select("key").mapInArrow(run, "word int, bit long").groupBy("word").agg(F.bit_or("bit").alias("bits"))
+        words = keys.select(*columns).mapInArrow(run, "word int, bit long").groupBy("word").agg(F.bit_or("bit").alias("bits"))
         found = words.toArrow()
         made = np.zeros(bits // 64, dtype=np.uint64)
         made[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
@@ -186,51 +200,56 @@ class Filter:
         return out
 
 
-def _counted(keys: list[np.ndarray], ranges: int) -> pa.RecordBatch:
-    """Sorted keys with their counts, cut into ranges of keys."""
-    found, counts = np.unique(np.concatenate(keys), return_counts=True)
-    counts = counts.astype(np.uint32)
-    at = np.arange(ranges, dtype=np.uint64) << np.uint64(64 - int(math.log2(ranges))) if ranges > 1 else np.zeros(1, dtype=np.uint64)
-    at = [*np.searchsorted(found, at), len(found)]
+_COUNTS = "range int, keys binary, counts binary, rows binary"
+
+
+def _counted(keys: list[np.ndarray], rows: list[np.ndarray], ranges: int) -> pa.RecordBatch:
+    """Sorted keys with their counts and a row of each, cut into ranges of keys."""
+    found, first, counts = np.unique(np.concatenate(keys), return_index=True, return_counts=True)
+    columns = [found, counts.astype(np.uint32), np.concatenate(rows)[first]]
+    at = [0]
+    if ranges > 1:
+        at = np.searchsorted(found, np.arange(ranges, dtype=np.uint64) << np.uint64(64 - int(math.log2(ranges))))
+    at = [*at, len(found)]
     some = [i for i in range(ranges) if at[i] < at[i + 1]]
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(some, pa.int32()),
-            pa.array([found[at[i] : at[i + 1]].tobytes() for i in some], pa.binary()),
-            pa.array([counts[at[i] : at[i + 1]].tobytes() for i in some], pa.binary()),
-        ],
-        ["range", "keys", "counts"],
-    )
+    cut = [pa.array([c[at[i] : at[i + 1]].tobytes() for i in some], pa.binary()) for c in columns]
+    return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), *cut], ["range", "keys", "counts", "rows"])
+
+
+def _joined(table: pa.Table, column: str, kind) -> np.ndarray:
+    return np.concatenate([np.frombuffer(x.as_buffer(), dtype=kind) for c in table[column].chunks for x in c])
 
 
 def frequent_keys(docs: DataFrame, wanted, ranges: int, least: int) -> DataFrame:
-    """Keys that stand at least ``least`` times in ``docs`` (text, lang), of those that ``wanted``
-    picks of the keys of a block."""
+    """(key, f, row): keys that stand at least ``least`` times in ``docs`` (text, lang, row), of those that ``wanted``
+    picks of a block, each with a row in which it stands."""
 
     def run(batches):
-        held, n = [], 0
+        keys, rows, n = [], [], 0
         for batch in batches:
-            for words in blocks(texts_of(batch.column(0)), batch.column(1).to_pylist()):
-                for keys in wanted(words.keys()):
-                    held.append(keys)
-                    n += len(keys)
+            for words in _blocks_of(batch):
+                for key, picked in wanted(words.keys()):
+                    at = np.flatnonzero(picked)
+                    keys.append(key[at])
+                    rows.append(words.row[at])
+                    n += len(at)
                 if n >= SORTED:
-                    yield _counted(held, ranges)
-                    held, n = [], 0
+                    yield _counted(keys, rows, ranges)
+                    keys, rows, n = [], [], 0
         if n:
-            yield _counted(held, ranges)
+            yield _counted(keys, rows, ranges)
 
     def merge(table: pa.Table) -> pa.Table:
-        keys = np.concatenate([np.frombuffer(x.as_buffer(), dtype=np.uint64) for c in table["keys"].chunks for x in c])
-        counts = np.concatenate([np.frombuffer(x.as_buffer(), dtype=np.uint32) for c in table["counts"].chunks for x in c])
+        keys, rows = _joined(table, "keys", np.uint64), _joined(table, "rows", np.uint32)
         order = np.argsort(keys)
-        keys, counts = keys[order], counts[order].astype(np.int64)
+        keys, counts = keys[order], _joined(table, "counts", np.uint32)[order].astype(np.int64)
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        good = np.add.reduceat(counts, first) >= least
-        return pa.table({"key": keys[first][good].view(np.int64)})
+        f = np.add.reduceat(counts, first)
+        good = f >= least
+        return pa.table({"key": keys[first][good].view(np.int64), "f": f[good], "row": rows[order][first][good].astype(np.int64)})
 
-    counted = docs.select("text", "lang").mapInArrow(run, "range int, keys binary, counts binary")
-    return counted.groupBy("range").applyInArrow(merge, "key long")
+    counted = docs.select("text", "lang", "row").mapInArrow(run, _COUNTS)
+    return counted.groupBy("range").applyInArrow(merge, "key long, f long, row long")
 
 
 def _parts_in(proposed: Filter):
@@ -240,7 +259,7 @@ def _parts_in(proposed: Filter):
         inside = None
         for size, (key, real) in enumerate(keys, 1):
             good = real if inside is None else real & inside[:-1] & inside[1:]
-            yield key[good]
+            yield key, good
             inside = np.zeros(len(key), dtype=bool)
             if size < LONGEST:
                 inside[good] = proposed.has(key[good])
@@ -248,56 +267,83 @@ def _parts_in(proposed: Filter):
     return wanted
 
 
+def _containing(failures: Filter):
+    """Picks the phrases of two words or more that contain a failure."""
+
+    def wanted(keys):
+        inside = None
+        for key, real in keys:
+            broken = failures.has(key)
+            if inside is not None:
+                broken |= inside[: len(key)] | inside[1 : len(key) + 1]
+                yield key, real & broken
+            inside = broken
+
+    return wanted
+
+
+def _pairs_in(pairs: Filter):
+    """Picks the phrases of three words or more whose pairs are all frequent in the sample."""
+
+    def wanted(keys):
+        key, real = keys[1]
+        inside = np.zeros(len(key), dtype=bool)
+        inside[real] = pairs.has(key[real])
+        for key, real in keys[2:]:
+            inside = (inside[:-1] & inside[1:])[: len(key)]
+            yield key, real & inside
+
+    return wanted
+
+
+def _witness(keys: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    return _mixed(keys ^ (rows.astype(np.uint64) * MIX))
+
+
 def phrase_counts(docs: DataFrame, least: int = LEAST, sample: int = SAMPLE) -> DataFrame:
     """(lang, phrase, size, f) of all phrases of one to four words that stand ``least`` times or more in
-    a language, counted exactly, and a row of size 0 with the number of all words of each language.
+    a language, and a row of size 0 with the number of all words of each language.
 
     Rows whose text is null or has no words add nothing; a null language is ``und``. Repeated rows count
     each. Texts of any length are read in blocks; an empty table gives no rows.
     """
     spark = docs.sparkSession
-    rows = docs.select("text", F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), "doc_id")
+    row = F.xxhash64("doc_id", "text")
+    rows = docs.select("text", F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), row.alias("row"))
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     # A word takes some six bytes; half of all keys of a block are alike.
     ranges = 1 << max(0, math.ceil(math.log2(max(1, size / 6 / RANGE))))
-    part = rows.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(sample)) == 0)
+    part = rows.where(F.pmod("row", F.lit(sample)) == 0)
     lowered = max(2, _lowered(least, sample))
 
-    def short(keys):
-        for key, real in keys[:2]:
-            yield key[real]
+    def given(keys: DataFrame):
+        return spark.sparkContext.broadcast(Filter.of(keys))
 
-    short_keys = land(frequent_keys(part, short, ranges, lowered), "short")
-    pairs = spark.sparkContext.broadcast(Filter.of(short_keys))
+    def passed(over: DataFrame, pick, count: int, label: str) -> DataFrame:
+        return land(frequent_keys(over, pick, ranges, count), label)
 
-    def long(keys):
-        key, real = keys[1]
-        inside = np.zeros(len(key), dtype=bool)
-        inside[real] = pairs.value.has(key[real])
-        for key, real in keys[2:]:
-            inside = inside[:-1] & inside[1:]
-            yield key[real & inside[: len(key)]]
-
-    long_keys = land(frequent_keys(part, long, ranges, lowered), "long")
-    proposed = short_keys.unionByName(long_keys)
-    held = spark.sparkContext.broadcast(Filter.of(proposed))
-    frequent = land(frequent_keys(rows, lambda keys: _parts_in(held.value)(keys), ranges, least), "frequent")
-    failures = land(frequent.join(proposed, "key", "left_anti"), "failures")
-    both = spark.sparkContext.broadcast((Filter.of(frequent), Filter.of(failures)))
+    short = passed(part, lambda keys: keys[:2], lowered, "short")
+    pairs = given(short)
+    proposed = short.unionByName(passed(part, lambda keys: _pairs_in(pairs.value)(keys), lowered, "long"))
+    held = given(proposed)
+    frequent = passed(rows, lambda keys: _parts_in(held.value)(keys), least, "frequent")
+    failures = land(frequent.join(proposed.select("key"), "key", "left_anti"), "failures")
+    if not failures.isEmpty():
+        broken = given(failures)
+        more = passed(rows, lambda keys: _containing(broken.value)(keys), least, "more")
+        frequent = land(frequent.unionByName(more.join(frequent.select("key"), "key", "left_anti")), "closed")
+    witnesses = given(frequent.select(F.col("key"), F.col("row")))
 
     def texts(batches):
-        tally = _Tally(*both.value)
         for batch in batches:
-            for words in blocks(texts_of(batch.column(0)), batch.column(1).to_pylist()):
-                tally.add(words)
-                if len(tally.named) >= NAMED:
-                    yield tally.rows()
-                    tally = _Tally(*both.value)
-        yield tally.rows()
+            yield _texts(_blocks_of(batch), witnesses.value)
 
-    found = rows.select("text", "lang").mapInArrow(texts, "lang string, phrase string, size int, f long")
-    exact = found.groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f"))
-    return exact.where((F.col("size") == 0) | (F.col("f") >= least))
+    found = rows.mapInArrow(texts, "lang string, phrase string, size int, key long, n long")
+    words = found.where("size = 0").groupBy("lang").agg(F.sum("n").alias("f"))
+    # A phrase comes from every row that is its witness: rows that are repeated, and by mistake of the filter.
+    named = found.where("size > 0").groupBy("key").agg(F.min(F.struct("lang", "phrase", "size")).alias("p"))
+    exact = frequent.join(named, "key").select("p.lang", "p.phrase", "p.size", "f")
+    return exact.unionByName(words.select("lang", F.lit("").alias("phrase"), F.lit(0).alias("size"), "f"))
 
 
 def _lowered(least: int, sample: int) -> int:
@@ -310,57 +356,32 @@ def _lowered(least: int, sample: int) -> int:
     return least
 
 
-class _Tally:
-    """Texts and counts of the wanted phrases of some blocks; a text is taken once for a key."""
-
-    def __init__(self, frequent: Filter, failures: Filter) -> None:
-        self.frequent, self.failures = frequent, failures
-        self.keys, self.counts = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
-        self.order = np.zeros(0, dtype=np.int64)
-        self.named: list[tuple[str, bytes, int]] = []
-        self.words: dict[str, int] = {}
-
-    def add(self, words: Words) -> None:
-        for i, n in enumerate(np.bincount(words.doc[words.skip :], minlength=len(words.langs))):
-            self.words[words.langs[i]] = self.words.get(words.langs[i], 0) + int(n)
-        inside, found = None, []
+def _texts(found: Iterator[Words], witnesses: Filter) -> pa.RecordBatch:
+    """Texts and keys of the phrases whose witness a row is, once each, and the number of words by language."""
+    named: dict[int, tuple[str, bytes, int]] = {}
+    total: dict[str, int] = {}
+    for words in found:
+        for i, n in enumerate(np.bincount(words.doc[words.skip :], minlength=len(words.langs)).tolist()):
+            total[words.langs[i]] = total.get(words.langs[i], 0) + n
         for size, (key, real) in enumerate(words.keys(), 1):
-            broken = np.zeros(len(key), dtype=bool)
-            broken[:] = self.failures.has(key)
-            if inside is not None:
-                broken |= inside[: len(key)] | inside[1 : len(key) + 1]
-            inside = broken
-            at = np.flatnonzero(real & (broken | self.frequent.has(key)))
-            found.append((key[at], at * (LONGEST + 1) + size))
-        keys, places = (np.concatenate(x) for x in zip(*found))
-        keys, first, counts = np.unique(keys, return_index=True, return_counts=True)
-        at = np.searchsorted(self.keys, keys)
-        known = np.zeros(len(keys), dtype=bool)
-        known[at < len(self.keys)] = self.keys[at[at < len(self.keys)]] == keys[at < len(self.keys)]
-        self.counts[at[known]] += counts[known]
-        fresh = np.flatnonzero(~known)
-        n = len(self.named)
-        for place in places[first[fresh]].tolist():
-            i, size = divmod(place, LONGEST + 1)
-            self.named.append((words.langs[words.doc[i]], words.phrase(i, size), size))
-        self.keys = np.insert(self.keys, at[fresh], keys[fresh])
-        self.counts = np.insert(self.counts, at[fresh], counts[fresh])
-        self.order = np.insert(self.order, at[fresh], n + np.arange(len(fresh)))
-
-    def rows(self) -> pa.RecordBatch:
-        counts = np.zeros(len(self.named), dtype=np.int64)
-        counts[self.order] = self.counts
-        langs, phrases, sizes = zip(*self.named) if self.named else ((), (), ())
-        total = [(lang, n) for lang, n in self.words.items() if n]
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([*langs, *(x for x, _ in total)], pa.string()),
-                pa.array([*phrases, *(b"" for _ in total)], pa.binary()).cast(pa.string()),
-                pa.array([*sizes, *(0 for _ in total)], pa.int32()),
-                pa.array([*counts.tolist(), *(n for _, n in total)], pa.int64()),
-            ],
-            ["lang", "phrase", "size", "f"],
-        )
+            at = np.flatnonzero(real)
+            at = at[witnesses.has(_witness(key[at], words.row[at]))]
+            keys, first = np.unique(key[at], return_index=True)
+            for k, i in zip(keys.view(np.int64).tolist(), at[first].tolist()):
+                if k not in named:
+                    named[k] = (words.langs[words.doc[i]], words.phrase(i, size), size)
+    langs, phrases, sizes = zip(*named.values()) if named else ((), (), ())
+    total = {lang: n for lang, n in total.items() if n}
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([*langs, *total], pa.string()),
+            pa.array([*phrases, *(b"" for _ in total)], pa.binary()).cast(pa.string()),
+            pa.array([*sizes, *(0 for _ in total)], pa.int32()),
+            pa.array([*named, *(None for _ in total)], pa.int64()),
+            pa.array([*(None for _ in named), *total.values()], pa.int64()),
+        ],
+        ["lang", "phrase", "size", "key", "n"],
+    )
 
 
 def collocations(
@@ -397,8 +418,13 @@ def collocations(
     around = longer.where("phrase is not null").groupBy("lang", "phrase").agg(F.max("f").alias("f"))
     covered = F.expr(f"cast(f as {wide}) * 100 >= cast(best.a as {wide}) * {keep_percent}")
     kept = best.join(around, ["lang", "phrase"], "left").where(F.col("f").isNull() | ~covered)
-    order = Window.partitionBy("lang").orderBy(F.desc("best.score"), F.desc("best.a"), "phrase")
-    ranked = kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    # The best of each part of a language first: a language's phrases are not ranked in one task.
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parted = kept.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(parts)))
+    order = (F.desc("best.score"), F.desc("best.a"), "phrase")
+    place = F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))
+    few = parted.withColumn("place", place).where(F.col("place") <= top).drop("place", "part")
+    ranked = few.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     total = counts.where("size = 0").select("lang", F.col("f").alias("n"))
     return ranked.join(total, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "best.a", "best.l", "best.r", "n", "best.score",

@@ -84,7 +84,7 @@ def test_long_texts_are_cut_into_blocks_without_losing_a_phrase(monkeypatch):
     def phrases(block):
         monkeypatch.setattr(collocations, "BLOCK", block)
         found = Counter()
-        for words in collocations.blocks(texts, ["en"] * len(texts)):
+        for words in collocations.blocks(texts, ["en"] * len(texts), [1] * len(texts)):
             for size, (key, real) in enumerate(words.keys(), 1):
                 found.update((words.phrase(i, size), int(key[i])) for i in np.flatnonzero(real))
         return found
