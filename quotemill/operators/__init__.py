@@ -1,3 +1,4 @@
+from quotemill.operators.ledger import KeyLedger, new_load
 from quotemill.operators.loading import append_new, rows_not_in
 from quotemill.operators.numbering import assign_keys, last_key, positions
 from quotemill.operators.publish import publish_if_complete, union_shards
@@ -22,8 +23,8 @@ from quotemill.operators.symbols import (
 )
 
 __all__ = [
-    "append_new", "assign_keys", "date_id_overflow", "distinct_on_date", "first_record",
-    "fk_orphans", "last_key", "missing_codes", "pk_violations", "position_slice",
+    "KeyLedger", "append_new", "assign_keys", "date_id_overflow", "distinct_on_date", "first_record",
+    "fk_orphans", "last_key", "missing_codes", "new_load", "pk_violations", "position_slice",
     "positions", "price_page", "price_range", "publish_if_complete", "rows_not_in",
     "symbol_count", "symbol_positions", "symbol_shards", "union_shards", "unmatched_quotes",
 ]

@@ -1,4 +1,13 @@
-from quotemill.plans.daily import day_quotes, load_staging, load_star, run_daily
+from quotemill.plans.daily import (
+    day_quotes,
+    fact_rows,
+    load_staging,
+    load_star,
+    read_day,
+    replace_star,
+    run_daily,
+    star_tables,
+)
 from quotemill.plans.staging import blank_staging, rename_by_position, transform_quotes
 from quotemill.plans.star import (
     datetime_dim,
@@ -12,7 +21,8 @@ from quotemill.plans.star import (
 )
 
 __all__ = [
-    "blank_staging", "datetime_dim", "day_quotes", "dimensions", "fact_table",
+    "blank_staging", "datetime_dim", "day_quotes", "dimensions", "fact_rows", "fact_table",
     "keyed_measures", "load_staging", "load_star", "measure_dim", "measure_rows",
-    "number_staging", "rename_by_position", "run_daily", "star_readback", "transform_quotes",
+    "number_staging", "read_day", "rename_by_position", "replace_star", "run_daily",
+    "star_readback", "star_tables", "transform_quotes",
 ]

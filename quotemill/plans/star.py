@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,9 +31,9 @@ def _measure_columns(table: str) -> list[Column]:
     ]
 
 
-def measure_rows(staging: DataFrame, table: str) -> DataFrame:
-    """Columns of one measure dimension without its key, one row per staging row."""
-    return staging.select(*_measure_columns(table))
+def measure_rows(staging: DataFrame, table: str, *keys: str) -> DataFrame:
+    """Columns of one measure dimension, one row per staging row, after ``keys`` that the rows have."""
+    return staging.select(*keys, *_measure_columns(table))
 
 
 def measure_dim(
@@ -73,8 +73,11 @@ def dimensions(
     return tables
 
 
-def fact_table(staging: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
-    """Surrogate keys of every staging row that all six dimensions match.
+def fact_table(
+    staging: DataFrame, dims: Mapping[str, DataFrame], keep: Sequence[str] = ()
+) -> DataFrame:
+    """Surrogate keys of every staging row that all six dimensions match, after them ``keep``
+    of the columns of the joins (code, stock_date, time_update).
 
     The date join comes first, while rows are narrow. The five joins after it
     share one key, so staging is shuffled for them at most once. No side is
@@ -89,7 +92,7 @@ def fact_table(staging: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
         if table in MEASURE_DIMS:
             keys = dims[table].select("code", "stock_date", F.col(key).alias(column))
             joined = joined.join(keys, ["code", "stock_date"], "inner")
-    return joined.select("code", "dateKey", "floor", "typeStock", *list(FOREIGN_KEYS)[1:])
+    return joined.select("code", "dateKey", "floor", "typeStock", *list(FOREIGN_KEYS)[1:], *keep)
 
 
 def star_readback(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:

@@ -41,3 +41,9 @@ def land(df: DataFrame, label: str = "landed", path: str | None = None) -> DataF
     target = path or scratch_path(df.sparkSession, label)
     df.write.parquet(target)
     return df.sparkSession.read.schema(df.schema).parquet(target)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system; one that is not there is no error."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -16,10 +16,11 @@ def jdbc_append(
     options: Mapping[str, str],
     partitions: int = 8,
     batch_size: int = 10000,
+    format: str = "jdbc",
 ) -> None:
     """Append to a database table over at most ``partitions`` connections."""
     (
-        df.write.format("jdbc")
+        df.write.format(format)
         .mode("append")
         .options(**options)
         .option("dbtable", table)

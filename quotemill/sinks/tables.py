@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quotemill.scratch import land, scratch_path
+
 
 def replace_table(
     df: DataFrame,
@@ -40,11 +42,16 @@ def create_if_absent(
     if partition_by:
         statement += f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})"
     if path is not None:
-        statement += f" LOCATION '{path}'"
+        escaped = path.replace("\\", "\\\\").replace("'", "\\'")
+        statement += f" LOCATION '{escaped}'"
     spark.sql(statement)
     return spark.table(table)
 
 
+def _partition_columns(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+
+
 def append_table(df: DataFrame, table: str) -> DataFrame:
     """Append by column name; ``insertInto`` itself goes by position.
 
@@ -53,13 +60,34 @@ def append_table(df: DataFrame, table: str) -> DataFrame:
     """
     spark = df.sparkSession
     rows = df.select(*spark.table(table).columns)
-    partitions = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    partitions = _partition_columns(spark, table)
     if partitions:
         rows = rows.hint("rebalance", *(F.col(c) for c in partitions))
     rows.write.insertInto(table)
     return spark.table(table)
 
 
+def replace_partitions(df: DataFrame, table: str, gone: Sequence[str] = ()) -> DataFrame:
+    """Overwrite the partitions that ``df`` has rows for, and drop those that ``gone`` describes,
+    each as the condition of one partition; all others stay as they are.
+
+    ``df`` is landed first, so it may be made of ``table`` itself. A repeated call changes nothing.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "replacement")
+    rows = land(df.select(*spark.table(table).columns), path=path)
+    # Overwriting by partition is a setting of a session: the caller's stays as it is.
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    scan = own.read.schema(rows.schema).parquet(path)
+    scan = scan.hint("rebalance", *(F.col(c) for c in _partition_columns(spark, table)))
+    scan.write.insertInto(table, overwrite=True)
+    for condition in gone:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({condition})")
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
 def bucketed_table(
     df: DataFrame,
     table: str,

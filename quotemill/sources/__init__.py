@@ -7,12 +7,17 @@ from quotemill.sources.files import (
 )
 from quotemill.sources.html import html_rows, table_rows
 from quotemill.sources.remote import jdbc_query, jdbc_table, topic_reader, warehouse_query
-from quotemill.sources.responses import company_records, envelope_explode, response_status
+from quotemill.sources.responses import (
+    company_records,
+    envelope_explode,
+    response_records,
+    response_status,
+)
 from quotemill.sources.sql import register_tables, sql_query, sql_query_named
 
 __all__ = [
     "bulk_load", "company_records", "envelope_explode", "html_rows", "jdbc_query",
     "jdbc_table", "read_csv", "read_quotes", "read_shard_files", "read_symbols",
-    "register_tables", "response_status", "sql_query", "sql_query_named", "table_rows",
+    "register_tables", "response_records", "response_status", "sql_query", "sql_query_named", "table_rows",
     "topic_reader", "warehouse_query",
 ]

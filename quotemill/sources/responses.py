@@ -22,6 +22,40 @@ def envelope_explode(
     return responses.select(*keep, F.inline(records))
 
 
+def response_records(
+    responses: DataFrame,
+    from_date: str,
+    to_date: str,
+    code: str = "code",
+    payload: str = "payload",
+    field: str = "data",
+    symbol: str = "symbol",
+) -> DataFrame:
+    """(symbol, reason, and the fields of a quote): the records of the closed range of dates.
+
+    Each payload is parsed once, where it lies. A record whose date cannot be read is one row with the
+    reason ``undated``. A response of which nothing can be read is one row without a quote, reason
+    ``unreadable``; one without a record in range is one row without a quote and reason.
+    """
+    day = lambda r: r["date"]
+    first, last = F.lit(from_date).cast("date"), F.lit(to_date).cast("date")
+    wanted = lambda r: day(r).isNull() | ((day(r) >= first) & (day(r) <= last))
+    # inline() keeps the parser in one place; a projection would be repeated for every field.
+    parsed = responses.select(
+        F.col(code).alias(symbol),
+        F.inline(F.array(F.struct(envelope_records(F.col(payload), field, QUOTE).alias("__records")))),
+    )
+    rows = parsed.select(
+        symbol,
+        F.col("__records").isNull().alias("__failed"),
+        F.explode_outer(F.filter("__records", wanted)).alias("__quote"),
+    )
+    reason = F.when(F.col("__failed"), "unreadable").when(
+        F.col("__quote").isNotNull() & F.col("__quote.date").isNull(), "undated"
+    )
+    return rows.select(symbol, reason.alias("reason"), "__quote.*")
+
+
 def response_status(
     responses: DataFrame, payload: str = "payload", field: str = "data"
 ) -> DataFrame:

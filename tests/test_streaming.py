@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from quotemill import sinks, streaming
 from quotemill.schemas import QUOTE_MESSAGE, stream_table_schema
-from quotemill.scratch import scratch_path
+from quotemill.scratch import delete_folder, scratch_path
+from quotemill.streaming import sink
 
 TIMEOUT = 120
 
@@ -69,7 +70,7 @@ def test_ids_continue_and_replay_changes_nothing(spark):
     put(spark, source, [message("B"), message("A")])
     put(spark, source, [message("D"), message("C"), message("C")])
     decoded = streaming.decode_quotes(stream(spark, source))
-    write = streaming.keyed_batch_writer(target)
+    write = streaming.keyed_batch_writer(target, stream="s")
     query = streaming.start_batches(decoded, write, scratch_path(spark, "checkpoint"), once=True)
     streaming.run_to_end(query, TIMEOUT)
     stored = streaming.stream_table(spark, target)
@@ -113,7 +114,7 @@ def test_two_queries_on_one_stream(spark):
 
 def test_empty_batch_keeps_the_last_id(spark):
     target = scratch_path(spark, "out")
-    write = streaming.keyed_batch_writer(target)
+    write = streaming.keyed_batch_writer(target, stream="s")
     for batch_id, codes in enumerate((["A", "B"], [], ["C"])):
         write(streaming.decode_quotes(batch(spark, [message(c) for c in codes])), batch_id)
     got = streaming.stream_table(spark, target).collect()
@@ -128,7 +129,7 @@ def test_jdbc_sink_needs_its_driver(spark):
 
 def test_all_of_writes_every_sink(spark):
     one, two = scratch_path(spark, "one"), scratch_path(spark, "two")
-    write = streaming.all_of(streaming.plain_batch_writer(one), streaming.plain_batch_writer(two))
+    write = streaming.all_of(*(streaming.plain_batch_writer(path, stream="s") for path in (one, two)))
     write(streaming.decode_quotes(batch(spark, [message("A")])), 0)
     for path in (one, two):
         assert streaming.read_batches(spark, path, QUOTE_MESSAGE).count() == 1
@@ -155,3 +156,113 @@ def test_backfill(spark, quotes):
     assert messages.count() == want
     assert {r.key for r in messages.collect()} == {"U00001", "U00002"}
     streaming.backfill(quotes, codes, "host:9092", "quotes", format="noop")
+
+
+def run_once(spark, source, target, checkpoint):
+    messages = stream(spark, source)
+    for query in streaming.start_quote_stream(messages, target, checkpoint, once=True):
+        streaming.run_to_end(query, TIMEOUT)
+
+
+def ids(spark, target):
+    return sorted((r.id, r.code) for r in streaming.stream_table(spark, target).collect())
+
+
+def test_a_batch_needs_to_know_its_stream(spark):
+    rows = streaming.decode_quotes(batch(spark, [message("A")]))
+    for write in (streaming.keyed_batch_writer, streaming.plain_batch_writer):
+        with pytest.raises(ValueError, match="which stream"):
+            write(scratch_path(spark, "out"))(rows, 0)
+
+
+def test_recreated_checkpoint_erases_nothing(spark):
+    source, target, checkpoint = (scratch_path(spark, x) for x in ("in", "out", "checkpoint"))
+    put(spark, source, [message("A"), message("B")])
+    for _ in range(2):
+        run_once(spark, source, target, checkpoint)
+        delete_folder(spark, checkpoint)
+    assert ids(spark, target) == [(1, "A"), (2, "B"), (3, "A"), (4, "B")]
+
+
+def write_batches(spark, target, first, codes, stream="s"):
+    write = streaming.keyed_batch_writer(target, stream=stream)
+    for batch_id, code in enumerate(codes, first):
+        write(streaming.decode_quotes(batch(spark, [message(code)])), batch_id)
+
+
+def test_compaction_keeps_every_row_once(spark):
+    target = scratch_path(spark, "out")
+    write_batches(spark, target, 0, "ABCD")
+    before = ids(spark, target)
+    assert streaming.compact(spark, target) == 3
+    assert ids(spark, target) == before  # the folders of the batches are still there, but not read
+    write_batches(spark, target, 1, "XY")  # replays of compacted batches
+    assert ids(spark, target) == before
+    write_batches(spark, target, 3, "DEF")  # a replay of the open one, and new batches
+    assert ids(spark, target) == [*before, (5, "E"), (6, "F")]
+    assert streaming.compact(spark, target) == 2
+    folders = spark.read.parquet(target).select("batch_id").distinct().collect()
+    assert {r.batch_id for r in folders} == {3, 4, 5}  # the first three are deleted by now
+    write_batches(spark, target, 6, "G")
+    write_batches(spark, target, 0, "H", stream="other")
+    assert ids(spark, target) == [*before, (5, "E"), (6, "F"), (7, "G"), (8, "H")]
+    assert streaming.compact(spark, target, keep_open=0) == 3
+    assert [i for i, _ in ids(spark, target)] == list(range(1, 9))
+    write_batches(spark, target, 7, "I")
+    assert ids(spark, target)[-1] == (9, "I")
+
+
+def test_compaction_that_dies_changes_nothing(spark, monkeypatch):
+    target = scratch_path(spark, "out")
+    write_batches(spark, target, 0, "ABC")
+    before = ids(spark, target)
+    with monkeypatch.context() as patched:
+        patched.setattr(sink.Manifest, "write", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            streaming.compact(spark, target)
+    assert ids(spark, target) == before
+    assert streaming.compact(spark, target) == 2
+    assert ids(spark, target) == before
+    assert streaming.compact(spark, target) == 0
+    assert ids(spark, target) == before
+
+
+def test_compacted_rows_lie_by_date(spark):
+    target = scratch_path(spark, "out")
+    write = streaming.keyed_batch_writer(target, stream="s")
+    for batch_id in range(3):
+        texts = [message("A", date=f"2024-01-0{d}") for d in (1, 2)]
+        write(streaming.decode_quotes(batch(spark, texts)), batch_id)
+    streaming.compact(spark, target)
+    files = spark.read.parquet(f"{target}/_compacted").inputFiles()
+    assert len({f.split("day=")[1].split("/")[0] for f in files}) == len(files) == 2
+
+
+def test_routes_of_one_query(spark):
+    source, target = scratch_path(spark, "in"), scratch_path(spark, "out")
+    texts = [message("A"), "garbage", message("B", "x"), "{}", '{"code":"C"', None, "17"]
+    put(spark, source, texts)
+    checkpoint = scratch_path(spark, "checkpoint")
+    query = streaming.start_routed_stream(stream(spark, source), target, checkpoint, once=True)
+    streaming.run_to_end(query, TIMEOUT)
+    quotes = streaming.read_route(spark, target)
+    assert quotes.drop("batch_id").schema == QUOTE_MESSAGE and [r.code for r in quotes.collect()] == ["A"]
+    broken = streaming.read_route(spark, target, streaming.BAD_JSON)
+    assert sorted(r.message for r in broken.collect()) == ["garbage", '{"code":"C"']
+    fields = streaming.read_route(spark, target, streaming.BAD_FIELD)
+    assert sorted(r.message for r in fields.collect()) == sorted([message("B", "x"), "{}", "17"])
+    assert "(route#" in broken._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_routes_parse_a_message_once(spark):
+    routed = streaming.route_messages(batch(spark, [message("A")]))
+    text = routed._jdf.queryExecution().executedPlan().toString()
+    assert text.count("from_json") == 1
+
+
+def test_jdbc_rows_carry_their_batch(spark):
+    path = scratch_path(spark, "jdbc")
+    write = streaming.jdbc_batch_writer("t", {"path": path}, batch_column="batch", stream="s", format="parquet")
+    write(streaming.decode_quotes(batch(spark, [message("A")])), 7)
+    stored = spark.read.parquet(path).first()
+    assert stored.batch == "s/7" and stored.changeCol == 0.5

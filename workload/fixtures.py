@@ -131,6 +131,11 @@ def messages_of(events: DataFrame) -> DataFrame:
     return quotes.select(value.alias("value"), stamp.alias("timestamp"))
 
 
+def messages_plain(quotes: DataFrame) -> DataFrame:
+    """Each quote as a JSON message."""
+    return quotes.select(to_message(quotes.columns).alias("value"))
+
+
 def message_stream(spark: SparkSession, sf_dir: str, broken: bool = False) -> DataFrame:
     """The messages as a stream over files, with the columns of a topic."""
     events = table(spark, sf_dir, "events")

@@ -385,6 +385,47 @@ FROM full_data s WHERE NOT EXISTS (
         f"{F2},{FIRST_STAGED},{dims('first_data')},{fact('first_data')}",
         "SELECT * FROM fact_table",
     ),
+    "daily_reload_corrected": select(f"""{F2},
+first_load AS (
+  SELECT *, row_number() OVER (ORDER BY "date", code) AS k FROM quotes_daily
+  WHERE NOT ("date" BETWEEN DATE '2024-01-10' AND DATE '2024-01-20' AND "floor" = 'signup')
+), again AS (
+  SELECT * REPLACE (
+    CASE WHEN "floor" IN ('click', 'view') THEN substr("time", 1, 11) || '23:59:59' ELSE "time" END AS "time",
+    "basicPrice" + CASE WHEN "floor" IN ('purchase', 'view') THEN 1 ELSE 0 END AS "basicPrice",
+    "close" + CASE WHEN "floor" IN ('purchase', 'view') THEN 1 ELSE 0 END AS "close")
+  FROM quotes_daily WHERE "date" BETWEEN DATE '2024-01-10' AND DATE '2024-01-20' AND "floor" <> 'error'
+), keyed AS (
+  SELECT a.*, coalesce(f.k, (SELECT count(*) FROM first_load)
+    + row_number() OVER (PARTITION BY f.k IS NULL ORDER BY a."date", a.code)) AS k
+  FROM again a LEFT JOIN first_load f ON f.code = a.code AND f."date" = a."date"
+), stored AS (
+  SELECT * FROM first_load WHERE NOT ("date" BETWEEN DATE '2024-01-10' AND DATE '2024-01-20')
+  UNION ALL BY NAME SELECT * FROM keyed
+)""", """
+SELECT code, CAST(strftime("date", '%Y%m%d') || replace(split_part("time", ' ', 2), ':', '') AS BIGINT) AS "dateKey",
+  "floor", "type" AS "typeStock", CAST(k AS BIGINT) AS "priceKey", CAST(k AS BIGINT) AS "OHLCKey",
+  CAST(k AS BIGINT) AS "adKey", CAST(k AS BIGINT) AS vol_val_key, CAST(k AS BIGINT) AS "changeKey",
+  "date" AS stock_date, "basicPrice", "close" AS close_col, split_part("time", ' ', 2) AS time_update,
+  CAST(0 AS BIGINT) AS n_orphans
+FROM stored"""),
+    "assign_keys_ledger": select(f"""{STAGED},
+loads AS (
+  SELECT 1 AS load, * FROM full_data WHERE stock_date <= DATE '2024-01-12'
+  UNION ALL SELECT 2, * FROM full_data WHERE stock_date BETWEEN DATE '2024-01-09' AND DATE '2024-01-20'
+  UNION ALL SELECT 3, * FROM full_data WHERE stock_date >= DATE '2024-01-21'
+), numbered AS (
+  SELECT *, row_number() OVER (ORDER BY load, stock_date, code) AS k FROM loads
+)""", f"""
+SELECT CAST(k AS BIGINT) AS price_id, code, stock_date, {measures("price_dim")} FROM numbered
+WHERE load <> 2 OR stock_date > DATE '2024-01-12'"""),
+    "response_rejects": select(F2, f"""
+SELECT DISTINCT code AS symbol, CASE WHEN CAST("nmVolume" AS INT) % 7 = 6 THEN 'unreadable' ELSE 'undated' END AS reason,
+  CAST(0 AS BIGINT) AS n_published
+FROM quotes_daily WHERE (CAST("nmVolume" AS INT) % 7 = 6 OR "date" = DATE '2024-01-01')
+  AND code IN (SELECT {CUSTOMER} FROM customer)
+UNION ALL
+SELECT {CUSTOMER}, 'absent', CAST(0 AS BIGINT) FROM customer WHERE {CUSTOMER} NOT IN (SELECT code FROM quotes_daily)"""),
     "daily_load_all_dates": select(STAR, "SELECT * FROM fact_table"),
     "daily_load_absent_response": select(STAR, "SELECT * FROM fact_table WHERE false"),
     "daily_load_bad_date": select(STAR, "SELECT * FROM fact_table WHERE false"),
@@ -437,4 +478,14 @@ SELECT CAST(r + k * n AS BIGINT) AS id, {STREAM_COLUMNS} FROM (
     "stream_two_sinks": select(F1, f"""
 SELECT 'table' AS sink, {COLUMNS} FROM quotes_raw
 UNION ALL SELECT 'echo' AS sink, {COLUMNS} FROM quotes_raw"""),
+    "stream_recreated_checkpoint": select(F1, f"""
+SELECT CAST(r + k * n AS BIGINT) AS id, {STREAM_COLUMNS} FROM (
+  SELECT *, row_number() OVER (ORDER BY {order_by(["date", "code"], QUOTE_NAMES)}) AS r, count(*) OVER () AS n
+  FROM quotes_raw
+) numbered, (VALUES (0), (1)) AS loads(k)"""),
+    "stream_compacted": select(F1, f"SELECT {STREAM_COLUMNS}, true AS ids_dense FROM quotes_raw"),
+    "stream_split_once": select(F1, """
+SELECT code, CASE WHEN "floor" NOT IN ('error', 'signup') THEN "basicPrice" END AS "basicPrice",
+  CASE "floor" WHEN 'error' THEN 'bad_json' WHEN 'signup' THEN 'bad_field' ELSE 'quote' END AS route
+FROM quotes_raw"""),
 }

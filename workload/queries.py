@@ -13,13 +13,17 @@ from pyspark.sql import types as T
 from quotemill import operators as op
 from quotemill import plans, sinks, sources, streaming
 from quotemill.schemas import MEASURE_DIMS, QUOTE, STAGING, STREAM_RENAMES, star_schemas
-from quotemill.scratch import land, scratch_path
+from quotemill.scratch import delete_folder, land, scratch_path
 from workload import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 STREAM_TIMEOUT = 300
 
+MONTH = ("2024-01-01", "2024-01-31")
+RELOADED = ("2024-01-10", "2024-01-20")
+LOADS = (("2024-01-01", "2024-01-12"), ("2024-01-09", "2024-01-20"), ("2024-01-21", "2024-01-31"))
+
 
 def _staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staging rows of F2, landed: dimensions and fact read them several times."""
@@ -294,8 +298,7 @@ def star_readback(spark, sf_dir):
 
 
 def _daily(spark, responses, symbols, first_by, loads=1):
-    database = _table_name("star")
-    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, 'star')}'")
+    database = _load_database(spark)
     for _ in range(loads):
         fact = plans.run_daily(
             spark, responses, symbols, "2024-01-01", "2024-01-31", database=database, first_by=first_by
@@ -318,6 +321,61 @@ def daily_load_all_dates(spark, sf_dir):
     return _daily(spark, *_requests(spark, sf_dir), ("code", "date"))
 
 
+def _load_database(spark: SparkSession) -> str:
+    database = _table_name("star")
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, 'star')}'")
+    return database
+
+
+def daily_reload_corrected(spark, sf_dir):
+    """A month is loaded, then eleven of its days again, corrected: some times, some measures, some both;
+    some quotes come late, some are withdrawn. Every quote keeps its keys, and has one fact."""
+    database, kind = _load_database(spark), F.col("floor")
+    quotes = fx.quotes_daily(spark, sf_dir)
+    span = F.col("date").between(*(F.lit(d).cast("date") for d in RELOADED))
+    first = land(plans.transform_quotes(quotes.where(~(span & (kind == "signup")))), "first")
+    plans.load_star(spark, first, database, padded=True, dates=MONTH)
+    corrected = quotes.where(span & (kind != "error")).withColumns(
+        {
+            "time": F.when(kind.isin("click", "view"), F.concat(F.substring("time", 1, 11), F.lit("23:59:59"))).otherwise(F.col("time")),
+            "basicPrice": F.when(kind.isin("purchase", "view"), F.col("basicPrice") + 1).otherwise(F.col("basicPrice")),
+            "close": F.when(kind.isin("purchase", "view"), F.col("close") + 1).otherwise(F.col("close")),
+        }
+    )
+    again = land(plans.transform_quotes(corrected), "again")
+    for _ in range(2):
+        fact = plans.replace_star(spark, again, RELOADED, database, padded=True)
+    dims = {name: spark.table(f"{database}.{name}") for name in [*MEASURE_DIMS, "datetime_dim"]}
+    price = dims["price_dim"].select(F.col("price_id").alias("priceKey"), "stock_date", "basicPrice")
+    ohlc = dims["OHLC_dim"].select(F.col("idOHLC").alias("OHLCKey"), "close_col")
+    dates = dims["datetime_dim"].select(F.col("date_id").alias("dateKey"), "time_update")
+    orphans = op.fk_orphans(fact, dims).agg(F.count("*").alias("n_orphans")).scalar()
+    rows = fact.join(price, "priceKey").join(ohlc, "OHLCKey").join(dates, "dateKey")
+    return rows.withColumn("n_orphans", orphans)
+
+
+def assign_keys_ledger(spark, sf_dir):
+    """Three loads into one star, the second over some days of the first: keys continue by the ledger."""
+    database = _load_database(spark)
+    staging = _staging(spark, sf_dir)
+    for dates in LOADS:
+        part = land(staging.where(F.col("stock_date").between(*(F.lit(d).cast("date") for d in dates))), "part")
+        plans.load_star(spark, part, database, dates=dates)
+    return spark.table(f"{database}.price_dim")
+
+
+def response_rejects(spark, sf_dir):
+    """Why a load is void: symbols without a response, with an unreadable one, with a record without a date."""
+    responses = fx.clean_responses(spark, sf_dir)
+    k = F.get_json_object("payload", "$.data[0].nmVolume").cast("double").cast("int")
+    spoilt = F.when(k % 7 == 6, F.lit("upstream error")).otherwise(
+        F.regexp_replace("payload", r'"date":"2024-01-01"', '"date":"01/2024"')
+    )
+    responses = responses.withColumn("payload", spoilt)
+    quotes, rejects = plans.read_day(responses, fx.symbols(spark, sf_dir), *MONTH)
+    return rejects.withColumn("n_published", quotes.agg(F.count("*").alias("n")).scalar())
+
+
 def daily_load_absent_response(spark, sf_dir):
     """A requested symbol has no response: nothing is published."""
     responses, symbols = _requests(spark, sf_dir)
@@ -499,6 +557,47 @@ def stream_two_sinks(spark, sf_dir):
     ).select("sink", *QUOTE.fieldNames())
 
 
+def stream_recreated_checkpoint(spark, sf_dir):
+    """A checkpoint is deleted and begun again at its old path: nothing is erased."""
+    path, checkpoint = scratch_path(spark, "stream_table"), scratch_path(spark, "checkpoint")
+    for _ in range(2):
+        messages = fx.message_stream(spark, sf_dir)
+        for query in streaming.start_quote_stream(messages, path, checkpoint, once=True):
+            streaming.run_to_end(query, STREAM_TIMEOUT)
+        delete_folder(spark, checkpoint)
+    return _as_quotes(streaming.stream_table(spark, path)).drop("batch_id")
+
+
+def stream_compacted(spark, sf_dir):
+    """Several batches, compacted, more batches, compacted again: each message once, ids dense."""
+    path, checkpoint, topic = (scratch_path(spark, x) for x in ("stream_table", "checkpoint", "topic"))
+    quotes = fx.quotes_raw(spark, sf_dir)
+    messages = fx.messages_plain(quotes).withColumn("half", F.pmod(F.xxhash64("value"), F.lit(2)))
+    for half in range(2):
+        messages.where(F.col("half") == half).select("value").repartition(4).write.mode("append").parquet(topic)
+        source = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).parquet(topic)
+        for query in streaming.start_quote_stream(source, path, checkpoint, once=True):
+            streaming.run_to_end(query, STREAM_TIMEOUT)
+        streaming.compact(spark, path)
+    stored = streaming.stream_table(spark, path)
+    ids = stored.agg((F.count_distinct("id") == F.max("id")).alias("dense")).scalar()
+    return _as_quotes(stored).drop("batch_id", "id").withColumn("ids_dense", ids)
+
+
+def stream_split_once(spark, sf_dir):
+    """Quotes and both kinds of malformed messages from one query."""
+    path = scratch_path(spark, "routes")
+    messages = fx.message_stream(spark, sf_dir, broken=True)
+    query = streaming.start_routed_stream(messages, path, scratch_path(spark, "checkpoint"), once=True)
+    streaming.run_to_end(query, STREAM_TIMEOUT)
+    code = F.regexp_extract("message", r'"code":"([^"]*)"', 1).alias("code")
+    found = [streaming.read_route(spark, path).select("code", "basicPrice", F.lit(streaming.QUOTES).alias("route"))]
+    for route in (streaming.BAD_JSON, streaming.BAD_FIELD):
+        texts = streaming.read_route(spark, path, route)
+        found.append(texts.select(code, F.lit(None).cast("double").alias("basicPrice"), F.lit(route).alias("route")))
+    return reduce(DataFrame.unionByName, found)
+
+
 QUERIES: dict[str, Query] = {
     "envelope_explode": envelope_explode,
     "response_status": response_status,
@@ -543,6 +642,9 @@ QUERIES: dict[str, Query] = {
     "fact_reload_fanout": fact_reload_fanout,
     "star_readback": star_readback,
     "daily_load": daily_load,
+    "daily_reload_corrected": daily_reload_corrected,
+    "assign_keys_ledger": assign_keys_ledger,
+    "response_rejects": response_rejects,
     "daily_load_all_dates": daily_load_all_dates,
     "daily_load_absent_response": daily_load_absent_response,
     "daily_load_bad_date": daily_load_bad_date,
@@ -563,4 +665,7 @@ QUERIES: dict[str, Query] = {
     "stream_foreachbatch": stream_foreachbatch,
     "stream_restart_new_checkpoint": stream_restart_new_checkpoint,
     "stream_two_sinks": stream_two_sinks,
+    "stream_recreated_checkpoint": stream_recreated_checkpoint,
+    "stream_compacted": stream_compacted,
+    "stream_split_once": stream_split_once,
 }
