@@ -35,7 +35,7 @@ LONGEST, LEAST, KEEP_PERCENT, TOP, UNKNOWN = 4, 30, 80, 2000, "und"
 #: One row in so many is in the sample, and how often it may miss a phrase that just is frequent.
 SAMPLE, MISS = 4, 0.05
 #: Bytes of text hashed at once, keys sorted at once, and keys of one range of keys.
-BLOCK, SORTED, RANGE = 1 << 20, 1 << 22, 1 << 21
+BLOCK, SORTED, RANGE = 1 << 20, 1 << 21, 1 << 21
 #: Bits of a filter, at most; bits for one key.
 MAX_BITS, BITS = 1 << 27, 32
 
