@@ -6,6 +6,7 @@ from quotemill.sources.files import (
     read_symbols,
 )
 from quotemill.sources.html import html_rows, table_rows
+from quotemill.sources.ledger import FileLedger, read_new_shard_files, read_symbols_listed
 from quotemill.sources.remote import jdbc_query, jdbc_table, topic_reader, warehouse_query
 from quotemill.sources.responses import (
     company_records,
@@ -16,8 +17,9 @@ from quotemill.sources.responses import (
 from quotemill.sources.sql import register_tables, sql_query, sql_query_named
 
 __all__ = [
-    "bulk_load", "company_records", "envelope_explode", "html_rows", "jdbc_query",
-    "jdbc_table", "read_csv", "read_quotes", "read_shard_files", "read_symbols",
+    "FileLedger", "bulk_load", "company_records", "envelope_explode", "html_rows", "jdbc_query",
+    "jdbc_table", "read_csv", "read_new_shard_files", "read_quotes", "read_shard_files",
+    "read_symbols", "read_symbols_listed",
     "register_tables", "response_records", "response_status", "sql_query", "sql_query_named", "table_rows",
     "topic_reader", "warehouse_query",
 ]

@@ -258,6 +258,10 @@ def measure_query(table: str) -> str:
     return select(f"{STAGED},{measure('d', table, 'full_data')}", "SELECT * FROM d")
 
 
+LISTED = f"""
+SELECT {CUSTOMER} AS "Stock_Code",
+  CAST(row_number() OVER (ORDER BY md5(CAST(c_custkey AS VARCHAR))) - 1 AS BIGINT) AS "position" FROM customer"""
+
 ORACLES: dict[str, str] = {
     "envelope_explode": select(F1, f"""
 SELECT {COLUMNS} FROM quotes_raw WHERE {READABLE} AND {RECORDS} >= 1
@@ -288,6 +292,9 @@ SELECT s_suppkey AS id, s_name AS name, CAST(s_nationkey AS BIGINT) AS nation FR
 SELECT s_suppkey AS id, s_name AS name, CAST(s_nationkey AS BIGINT) AS nation FROM supplier""",
     "csv_roundtrip": DAILY,
     "directory_scan": DAILY,
+    "directory_scan_new": select(f"{F2},{SHARDS}", f"""
+SELECT {quoted(QUOTE_NAMES, "q.")} FROM quotes_daily q JOIN shards s ON q.code = s.code
+WHERE s.shard = 2 OR s.shard = 1 AND q."floor" <> 'error'"""),
     "bulk_load_positional": ALL_STAGED,
     "blank_staging": RAW_STAGED,
     "sql_query": select(STAR, """
@@ -325,6 +332,12 @@ FROM (
   SELECT code AS "Stock_Code", CAST(row_number() OVER (ORDER BY code) - 1 AS BIGINT) AS "position",
     count(*) OVER () AS n
   FROM (SELECT {CUSTOMER} AS code FROM customer))""",
+    "position_slice_listed": f"""
+SELECT * FROM ({LISTED}) WHERE "position" >= 25 AND "position" < 75""",
+    "symbol_shards_listed": f"""
+SELECT "Stock_Code", "position",
+  CAST(CASE WHEN n < 3 THEN 2 ELSE least("position" // (n // 3), 2) END AS INT) AS shard
+FROM (SELECT *, count(*) OVER () AS n FROM ({LISTED}))""",
     "missing_codes": f"""
 SELECT {CUSTOMER} AS "Stock_Code" FROM customer
 WHERE c_custkey NOT IN (SELECT user_id FROM events WHERE user_id IS NOT NULL)""",
@@ -459,6 +472,10 @@ SELECT code AS symbol, "date" AS trading_day, "close" AS closing FROM quotes_raw
     "json_encode": RAW,
     "backfill": select(F1, f"""
 SELECT {COLUMNS} FROM quotes_raw
+WHERE "date" BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'
+  AND code IN (SELECT {CUSTOMER} FROM customer)"""),
+    "backfill_resumed": select(F1, f"""
+SELECT {COLUMNS} FROM quotes_raw
 WHERE "date" BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'
   AND code IN (SELECT {CUSTOMER} FROM customer)"""),
     "stream_decode": RAW,

@@ -120,6 +120,44 @@ def directory_scan(spark, sf_dir):
     return sources.read_shard_files(spark, folder)
 
 
+def directory_scan_new(spark, sf_dir):
+    """Two shards are loaded, a third file comes and one is written again: the second scan reads these two."""
+    folder, ledger = scratch_path(spark, "day"), sources.FileLedger(spark, scratch_path(spark, "files"))
+    quotes = fx.sharded_quotes(spark, sf_dir)
+
+    def write(shard: int, rows: DataFrame) -> None:
+        sinks.write_csv(rows.drop("shard"), f"{folder}/stock_price_{shard + 1}.csv", mode="overwrite")
+
+    for shard in range(2):
+        write(shard, quotes.where(F.col("shard") == shard))
+    _, files = sources.read_new_shard_files(spark, f"{folder}/*", ledger, "*.csv")
+    ledger.commit(files)
+    write(2, quotes.where(F.col("shard") == 2))
+    write(1, quotes.where((F.col("shard") == 1) & (F.col("floor") != "error")))
+    return sources.read_new_shard_files(spark, f"{folder}/*", ledger, "*.csv")[0]
+
+
+def _listed_symbols(spark, sf_dir):
+    """The symbol list in files, in an order that is not that of the codes."""
+    path = scratch_path(spark, "symbols")
+    customer = fx.table(spark, sf_dir, "customer")
+    mixed = F.md5(F.col("c_custkey").cast("string"))
+    listing = customer.repartitionByRange(4, mixed).sortWithinPartitions(mixed).select(
+        fx.symbol_code("c_custkey").alias("Stock_Code"),
+        *(F.lit(None).cast("string").alias(c) for c in ("Name_Company", "Industry", "Exchange", "KLCPNY")),
+    )
+    sinks.write_csv(listing, path)
+    return sources.read_symbols_listed(spark, path)
+
+
+def position_slice_listed(spark, sf_dir):
+    return op.position_slice(_listed_symbols(spark, sf_dir), 25, 75)
+
+
+def symbol_shards_listed(spark, sf_dir):
+    return op.symbol_shards(_listed_symbols(spark, sf_dir))
+
+
 def bulk_load_positional(spark, sf_dir):
     path = scratch_path(spark, "bulk")
     staging = plans.transform_quotes(fx.quotes_daily(spark, sf_dir))
@@ -485,6 +523,26 @@ def backfill(spark, sf_dir):
     return _as_quotes(streaming.decode_quotes(log))
 
 
+def backfill_resumed(spark, sf_dir):
+    """A replay dies in its third chunk and is run again: each message is sent once."""
+    topic, ledger = scratch_path(spark, "topic"), scratch_path(spark, "chunks")
+    quotes, codes = land(fx.quotes_raw(spark, sf_dir), "quotes"), fx.symbols(spark, sf_dir)
+    sent = []
+
+    def publish(rows: DataFrame) -> None:
+        sent.append(rows)
+        if len(sent) == 3:
+            raise ConnectionError("injected")
+        sinks.publish_messages(rows, "host:9092", "quotes", key="code", options={"path": topic}, format="parquet")
+
+    for _ in range(2):
+        try:
+            streaming.resumable_backfill(quotes, codes, ledger, publish, "2024-01-05", "2024-01-20", parts=2, days=4)
+        except ConnectionError:
+            continue
+    return _as_quotes(streaming.decode_quotes(spark.read.schema("key string, value string").parquet(topic)))
+
+
 # Streams
 
 
@@ -608,6 +666,7 @@ QUERIES: dict[str, Query] = {
     "company_records_inferred": company_records_inferred,
     "csv_roundtrip": csv_roundtrip,
     "directory_scan": directory_scan,
+    "directory_scan_new": directory_scan_new,
     "bulk_load_positional": bulk_load_positional,
     "blank_staging": blank_staging,
     "sql_query": sql_query,
@@ -622,6 +681,8 @@ QUERIES: dict[str, Query] = {
     "symbol_count": symbol_count,
     "position_slice": position_slice,
     "symbol_shards": symbol_shards,
+    "position_slice_listed": position_slice_listed,
+    "symbol_shards_listed": symbol_shards_listed,
     "missing_codes": missing_codes,
     "union_by_name": union_by_name,
     "publish_complete": publish_complete,
@@ -659,6 +720,7 @@ QUERIES: dict[str, Query] = {
     "copy_table": copy_table,
     "json_encode": json_encode,
     "backfill": backfill,
+    "backfill_resumed": backfill_resumed,
     "stream_decode": stream_decode,
     "stream_malformed": stream_malformed,
     "stream_readable": stream_readable,
