@@ -8,6 +8,10 @@ hub's are compared again, with more hubs. A pair that shares several bands is co
 the bucket of the first of them alone. A hub was compared with its whole bucket, so it
 leaves; the rounds end when no bucket has two components left. So every pair of a bucket
 that could join two components is compared, and once.
+
+What is left after the first round are mostly families: variants of one text that share buckets
+and are not linked. Their classes get a second, longer signature of one bit a minimum, so that a
+pair costs a few machine words to compare and hardly one in the family has to be confirmed.
 """
 
 from __future__ import annotations
@@ -36,9 +40,11 @@ SEED = 7
 #: Minima of a signature, more only if bands of one row need them. The lowest byte of a
 #: minimum stands for it: equal minima stay equal, others agree once in 256.
 MINIMA = 200
+#: Bits of the longer signature of classes that the first round leaves, in words of 64.
+BIT_WORDS = 32
 #: Hubs of a bucket: one at first, so many times more in each later round, and at most so many,
 #: for up to which Spark ranks within each partition before it shuffles.
-MORE_HUBS, MOST_HUBS = 16, 1000
+MORE_HUBS, MOST_HUBS = 32, 1000
 
 
 def banding(percent: int) -> tuple[int, int]:
@@ -61,6 +67,20 @@ def least_agreeing(percent: int, n_hashes: int) -> int:
     return n_hashes
 
 
+def most_differing(percent: int, n_bits: int) -> int:
+    """The fewest bits in which pairs at ``percent`` differ more often only once in ``MISS`` at most."""
+    p, above = (1 - percent / 100) / 2, 0.0
+    for k in range(n_bits, -1, -1):
+        if p > 0:
+            ways = math.lgamma(n_bits + 1) - math.lgamma(k + 1) - math.lgamma(n_bits - k + 1)
+            above += math.exp(ways + k * math.log(p) + (n_bits - k) * math.log1p(-p))
+        elif k == 0:
+            above = 1.0
+        if above > 1 / MISS:
+            return k
+    return n_bits
+
+
 def shingles(texts: list[bytes], n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the distinct shingles of each text, sorted within it, and where each text's end.
 
@@ -173,46 +193,65 @@ def _first_shared(a: Column, b: Column, band: Column, rows: int) -> Column:
     return F.forall(before, lambda i: F.slice(a, i * rows + 1, F.lit(rows)) != F.slice(b, i * rows + 1, F.lit(rows)))
 
 
+def _texts_of_classes(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(doc_id, text_key, text) of one document of each class in ``wanted``: a bitmap of
+    fixed size over these documents keeps nearly all other texts out of what follows."""
+    sources = land(classes.join(wanted, "class").select("class", "doc_id", "text_key"), "wanted")
+    here = F.struct("doc_id", "text_key")
+    keyed = docs.select(docs["doc_id"].cast("long").alias("doc_id"), row_key().alias("text_key"), "text")
+    bitmap = land(id_bitmap(here, sources), "bitmap")
+    return keyed.where(in_bitmap(here, bitmap.scalar()))
+
+
+def bit_signatures(docs: DataFrame, classes: DataFrame, wanted: DataFrame, n: int = SHINGLE) -> DataFrame:
+    """(class, bits): the lowest bit of each of 64 ``BIT_WORDS`` minima, for the classes in ``wanted``."""
+
+    def make(batch: pa.RecordBatch) -> dict:
+        found, keys, bits = texts_of(batch.column(2)), [], []
+        for a, b in parts(found, 1 << 18):
+            some, x, ends = _sets(found[a:b], n)
+            minima = signatures(x, ends, 64 * BIT_WORDS, seed=SEED + 1).astype(np.uint8) & 1
+            keys += some
+            bits.append(np.packbits(minima, axis=1).view(np.int64))
+        offsets = np.arange(len(keys) + 1, dtype=np.int32) * BIT_WORDS
+        return {"class": pa.array(keys, pa.binary()), "bits": pa.ListArray.from_arrays(offsets, np.concatenate(bits).ravel())}
+
+    made = map_batches(_texts_of_classes(docs, classes, wanted), "class binary, bits array<long>", make)
+    return made.join(wanted, "class", "left_semi").groupBy("class").agg(F.first("bits").alias("bits"))
+
+
+def _bits_agree(a: Column, b: Column, percent: int) -> Column:
+    differ = sum((F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(BIT_WORDS)), F.lit(0))
+    return differ <= most_differing(percent, 64 * BIT_WORDS)
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: int, n: int = SHINGLE) -> DataFrame:
     """Pairs of classes whose full shingle sets are similar enough.
 
-    Sets are made again from the texts of the classes in ``pairs`` alone: a bitmap of
-    fixed size over their documents keeps nearly all other texts out of the shuffle.
+    Sets are made again from the texts of the classes in ``pairs`` alone, and compared by Spark: no
+    task holds more of them than the pair at hand.
     """
     wanted = pairs.select(F.col("u").alias("class")).unionByName(pairs.select(F.col("v").alias("class"))).distinct()
-    sources = land(classes.join(wanted, "class").select("class", "doc_id", "text_key"), "wanted")
-    here = F.struct("doc_id", "text_key")
-    keyed = docs.select(docs["doc_id"].cast("long").alias("doc_id"), row_key().alias("text_key"), "text")
-    bitmap = land(id_bitmap(here, sources), "bitmap")
-    texts = keyed.where(in_bitmap(here, bitmap.scalar()))
 
     def make(batch: pa.RecordBatch) -> dict:
-        found, out = texts_of(batch.column(2)), []
+        found, keys, sets = texts_of(batch.column(2)), [], []
         for a, b in parts(found):
-            keys, x, ends = _sets(found[a:b], n)
-            out += [(k, x[c:d].tobytes()) for k, c, d in zip(keys, [0, *ends], ends)]
-        return {"class": pa.array([k for k, _ in out], pa.binary()), "items": pa.array([x for _, x in out], pa.binary())}
+            some, x, ends = _sets(found[a:b], n)
+            keys += some
+            sets += [x[c:d].view(np.int64) for c, d in zip([0, *ends], ends)]
+        return {"class": pa.array(keys, pa.binary()), "items": pa.array(sets, pa.list_(pa.int64()))}
 
     # Rows that repeat one document carry equal sets; one is enough.
-    made = map_batches(texts, "class binary, items binary", make).join(wanted, "class", "left_semi")
-    sets = made.groupBy("class").agg(F.first("items").alias("items"))
-    sets = land(sets, "sets")
+    texts = _texts_of_classes(docs, classes, wanted)
+    made = map_batches(texts, "class binary, items array<long>", make).join(wanted, "class", "left_semi")
+    sets = land(made.groupBy("class").agg(F.first("items").alias("items")), "sets")
     both = (
         pairs.join(sets.select(F.col("class").alias("u"), F.col("items").alias("iu")), "u")
         .join(sets.select(F.col("class").alias("v"), F.col("items").alias("iv")), "v")
         .select("u", "v", "iu", "iv")
     )
-
-    def keep(batches):
-        for batch in batches:
-            good = []
-            for iu, iv in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                a, b = np.frombuffer(iu, dtype=np.uint64), np.frombuffer(iv, dtype=np.uint64)
-                common = len(np.intersect1d(a, b, assume_unique=True))
-                good.append(100 * common >= percent * (len(a) + len(b) - common))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["u", "v"]).filter(pa.array(good, pa.bool_()))
-
-    return both.mapInArrow(keep, "u binary, v binary")
+    common, sizes = F.size(F.array_intersect("iu", "iv")), F.size("iu") + F.size("iv")
+    return both.where(100 * common >= percent * (sizes - common)).select("u", "v")
 
 
 def links(docs: DataFrame, classes: DataFrame, percent: int, n: int = SHINGLE) -> DataFrame:
@@ -222,7 +261,7 @@ def links(docs: DataFrame, classes: DataFrame, percent: int, n: int = SHINGLE) -
     members = land(buckets(classes, bands, band_rows), "buckets")
     columns = members.columns
     signature = classes.select("class", "signature")
-    joined = None
+    joined, longer = None, None
     n_hubs = 1
     while True:
         if joined is None:
@@ -234,21 +273,28 @@ def links(docs: DataFrame, classes: DataFrame, percent: int, n: int = SHINGLE) -
         placed = land(placed.join(split, "bucket").select(*columns, "place"), "placed")
         if placed.isEmpty():
             break
+        if joined is not None and longer is None:
+            bits = bit_signatures(docs, classes, placed.select("class").distinct(), n)
+            signature = longer = land(signature.join(bits, "class"), "signatures")
         rank = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("weight"), "class"))
         hubs = land(placed.withColumn("hub", rank).where(F.col("hub") <= n_hubs), "hubs")
         ranked = placed.join(hubs.select("bucket", "class", "hub"), ["bucket", "class"], "left").join(signature, "class")
         hub = hubs.join(signature, "class").select(
             "bucket", F.col("class").alias("u"), F.col("n_shingles").alias("nu"), F.col("place").alias("pu"),
-            F.col("hub").alias("hu"), F.col("signature").alias("su"),
+            F.col("hub").alias("hu"), F.col("signature").alias("su"), *([F.col("bits").alias("bu")] if longer is not None else []),
         )
+        if longer is not None:
+            alike = _bits_agree(F.col("bits"), F.col("bu"), percent)
+        else:
+            alike = _agree(F.col("signature"), F.col("su"), percent, n_hashes)
         worth = (
             (ranked["bucket"] == hub["bucket"]) & (F.col("place") != F.col("pu"))
             & (F.col("hub").isNull() | (F.col("hub") > F.col("hu")))
-            & _close(F.col("n_shingles"), F.col("nu"), percent) & _agree(F.col("signature"), F.col("su"), percent, n_hashes)
+            & _close(F.col("n_shingles"), F.col("nu"), percent) & alike
             & _first_shared(F.col("signature"), F.col("su"), F.col("band"), band_rows)
         )
         pairs = land(ranked.join(hub, worth).select("u", F.col("class").alias("v")), "pairs")
-        new = land(confirmed(pairs, docs, classes, percent, n), "links")
+        new = pairs if pairs.isEmpty() else land(confirmed(pairs, docs, classes, percent, n), "links")
         if joined is None or not new.isEmpty():
             # Components so far are stars, of the same reach as the links that made them.
             known = [] if joined is None else [joined.select(F.col("class").alias("u"), F.col("component").alias("v"))]

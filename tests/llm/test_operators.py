@@ -118,6 +118,40 @@ def test_variants_under_null_and_equal_ids_leave_one(spark):
     assert sorted((r.g, r.doc_id) for r in kept) == [(0, None), (1, 7), (2, 8)]
 
 
+@pytest.mark.parametrize("percent", [85, 80])
+def test_a_family_of_variants_that_are_mostly_not_linked(spark, percent):
+    """Variants of one text share all buckets; those left by the first round are told apart by longer signatures."""
+    rng = random.Random(percent)
+    base, found = [f"w{i}" for i in range(300)], []
+    for i in range(120):
+        words = list(found[-1] if i % 6 == 5 else base)
+        for at in rng.sample(range(300), 3 if i % 6 == 5 else rng.choice([6, 9, 12, 15])):
+            words[at] = f"x{i}_{at}"
+        found.append(words)
+    sets = [{tuple(w[j : j + 5]) for j in range(len(w) - 4)} for w in found]
+    least = list(range(120))
+    linked = [(a, b) for a in range(120) for b in range(a) if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
+    for _ in range(120):
+        for a, b in linked:
+            least[a] = least[b] = min(least[a], least[b])
+    assert len(set(least)) > 10 and linked
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(found)], "doc_id long, text string")
+    got = near_dedup.near_duplicates(docs, percent).collect()
+    assert {r.doc_id: r.component_id for r in got} == dict(enumerate(least))
+
+
+@pytest.mark.parametrize("percent", [80, 85, 99])
+def test_bits_differ_as_rarely_as_stated(percent):
+    d, n = near_dedup.most_differing(percent, 512), 512
+    p = (100 - percent) / 200
+
+    def tail(k):
+        return sum(math.comb(n, j) * p**j * (1 - p) ** (n - j) for j in range(k + 1, n + 1))
+
+    assert tail(d) <= 1 / near_dedup.MISS < tail(d - 1)
+    assert near_dedup.most_differing(100, n) == 0
+
+
 def test_components_of_a_path_a_star_and_a_loop(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(200, 200)]
     found = components.components(spark.createDataFrame(edges, "u int, v int")).collect()
