@@ -10,6 +10,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from quotemill.llm.shared import MIX, parts, texts_of, word_hashes
 
@@ -175,16 +176,16 @@ def judge(docs: DataFrame, order: list[str] | None = None) -> DataFrame:
 
 
 def filter_documents(docs: DataFrame, order: list[str] | None = None) -> DataFrame:
-    """The rows of ``docs`` that are kept, all their columns unchanged."""
+    """The rows of ``docs`` that are kept, all their columns unchanged, whatever their names.
+
+    Only texts go to Python, and verdicts come back. A null or empty text fails the base, so its row goes;
+    of repeated rows all stay or none; a text of any length is judged whole; an empty table gives no rows.
+    """
     order = order or rule_order(docs)
-    at = docs.columns.index("text")
 
-    def run(batches):
-        for batch in batches:
-            keep = [
-                not base_failed(t, n) and passes(t, order) is None
-                for t, n in measured(texts_of(batch.column(at)))
-            ]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+    @F.arrow_udf("boolean")
+    def kept(texts: pa.Array) -> pa.Array:
+        found = measured(texts_of(texts))
+        return pa.array([not base_failed(t, n) and passes(t, order) is None for t, n in found], pa.bool_())
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.where(kept(F.col("text")))
