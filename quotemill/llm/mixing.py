@@ -10,11 +10,14 @@ the source still lacks.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quotemill.llm.shared import land, row_key
+from quotemill.llm.shared import IdBitmap, land, row_key, whole_row
+from quotemill.operators.numbering import positions
 
 #: Fixed values of the mix.
 WEIGHTS = (5, 2, 1)
@@ -27,6 +30,9 @@ BINS = 4096
 
 N_WORDS = r"[^\x20\x09-\x0D]+"
 
+#: The order of a source's ranking.
+PLACE = ("_rank", "_id", "_key", "_salt")
+
 
 def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(N_WORDS)).cast("long"), F.lit(0).cast("long"))
@@ -64,10 +70,33 @@ def targets(
     return opened.select("source", "source_size", target.alias("target"))
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumns({
-        "_id": docs["doc_id"].cast("long"), "_key": row_key(), "_source": F.col("source"), "_size": n_words(F.col("text")),
-    })
+def _keyed(docs: DataFrame, *more: Column) -> DataFrame:
+    return docs.select(
+        F.col("doc_id").cast("long").alias("_id"), row_key().alias("_key"), F.col("source").alias("_source"),
+        n_words(F.col("text")).alias("_size"), *more,
+    )
+
+
+def _salted(keyed: DataFrame) -> DataFrame:
+    """Keyed rows with ``_salt``: 0, and for rows equal in doc_id, text and source their number among these.
+
+    Only such rows are shuffled, by ranges of their whole order, so a hot one is cut into many.
+    """
+    same = ["_id", "_key", "_source"]
+    named = [f"{c}_again" for c in same]
+    again = keyed.groupBy(*same).agg(F.count("*").alias("n")).where("n > 1").select(*same)
+    again = land(again.toDF(*named), "again")
+    none = F.lit(0).cast("long").alias("_salt")
+    if again.isEmpty():
+        return keyed.select("*", none)
+    equal = reduce(lambda a, b: a & b, (F.col(a).eqNullSafe(F.col(b)) for a, b in zip(same, named)))
+    maybe = IdBitmap(F.struct(*named), again).has(F.struct(*same))
+    some = keyed.where(maybe)
+    numbered = positions(land(some.join(again, equal, "left_semi"), "repeated"), same, "_at", land_input=False)
+    first = numbered.groupBy(*same).agg(F.min("_at").alias("_first")).toDF(*named, "_first")
+    salted = numbered.join(first, equal).select(*keyed.columns, (F.col("_at") - F.col("_first")).alias("_salt"))
+    rest = keyed.where(~maybe).unionByName(some.join(again, equal, "left_anti"))
+    return rest.select("*", none).unionByName(salted)
 
 
 def _drawn(rows: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
@@ -75,7 +104,7 @@ def _drawn(rows: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
 
     The rank is Pareto's, odds of the draw over odds of inclusion, as a number in (0, 1).
     """
-    draw = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), "_id", "_key", "_source"), 11) + 0.5) / float(1 << 53)
+    draw = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), "_id", "_key", "_source", "_salt"), 11) + 0.5) / float(1 << 53)
     odds = draw / (1 - draw) * (1 - F.col("chance")) / F.col("chance")
     cell = F.col("_rank") * BINS
     return (
@@ -95,7 +124,14 @@ def cut_points(
     The cut is found by adding up words per bin of the rank, then per bin within the bin that
     holds the cut; only the rows in that small bin are ordered.
     """
-    base = land(_keyed(docs).select("_id", "_key", "_source", "_size"), "mix")
+    return _cut_points(_salted(land(_keyed(docs), "keyed")), weights, share_pct, max_copies, seed)
+
+
+def _cut_points(
+    rows: DataFrame, weights: tuple[float, ...] = WEIGHTS, share_pct: int = SHARE_PCT,
+    max_copies: int = MAX_COPIES, seed: int = SEED,
+) -> DataFrame:
+    base = land(rows.select("_id", "_key", "_source", "_size", "_salt"), "mix")
     sizes = base.groupBy(F.col("_source").alias("source")).agg(F.sum("_size").alias("source_size"))
     goals = land(targets(sizes, weights, share_pct, max_copies), "targets")
     copies = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
@@ -112,8 +148,8 @@ def cut_points(
     inner = at_cut.groupBy("_source", "_sub").agg(F.sum("_size").alias("words"), F.max(rest).alias("lack"))
     second = _cut(inner, "_sub")
     edge = _with(at_cut, second).where(F.col("_sub") == F.col("cut_sub"))
-    here = F.struct("_rank", "_id", "_key")
-    order = Window.partitionBy("_source").orderBy("_rank", "_id", "_key").rowsBetween(Window.unboundedPreceding, -1)
+    here = F.struct(*PLACE)
+    order = Window.partitionBy("_source").orderBy(*PLACE).rowsBetween(Window.unboundedPreceding, -1)
     edge = edge.select(
         "_source", "_size", here.alias("here"), (rest - F.col("words_before_sub")).alias("rest"),
         F.coalesce(F.sum("_size").over(order), F.lit(0)).alias("before"),
@@ -127,15 +163,15 @@ def cut_points(
     return land(named.drop("_source"), "cuts")
 
 
-def _copies(docs: DataFrame, cuts: DataFrame, seed: int) -> DataFrame:
-    """All rows with ``_copies``. The cuts have one row per source; Spark broadcasts them if small."""
-    here = F.struct("_rank", "_id", "_key")
+def _copies(rows: DataFrame, cuts: DataFrame, seed: int) -> DataFrame:
+    """All keyed rows with ``_copies``. The cuts have one row per source; Spark broadcasts them if small."""
+    here = F.struct(*PLACE)
     chosen = (F.col("_bin") < F.col("cut_bin")) | (
         (F.col("_bin") == F.col("cut_bin"))
         & ((F.col("_sub") < F.col("cut_sub")) | ((F.col("_sub") == F.col("cut_sub")) & (here <= F.col("last"))))
     )
     extra = F.coalesce(chosen, F.lit(False)).cast("long")
-    return _drawn(_keyed(docs), cuts, seed).withColumn("_copies", F.col("whole") + extra)
+    return _drawn(rows, cuts, seed).withColumn("_copies", F.col("whole") + extra)
 
 
 def mix(
@@ -144,12 +180,13 @@ def mix(
 ) -> DataFrame:
     """doc_id, source, size, source_size, target, copies and taken words of every row.
 
-    A row's draw is a hash of its doc_id, text and source, so a rerun takes the same rows; rows
-    equal in all three draw alike and are taken alike. A null text has no words and is never
+    A row's draw is a hash of its doc_id, text and source, and for rows equal in all three of their
+    number, so a rerun takes the same and repeated rows are drawn one by one. A null text has no words and is never
     needed to reach a target; the null source is a source. Extra columns are ignored. An empty
     table gives no rows.
     """
-    mixed = _copies(docs, cut_points(docs, weights, share_pct, max_copies, seed), seed)
+    rows = land(_salted(land(_keyed(docs), "keyed")), "salted")
+    mixed = _copies(rows, _cut_points(rows, weights, share_pct, max_copies, seed), seed)
     return mixed.select(
         F.col("_id").alias("doc_id"), F.col("_source").alias("source"), F.col("_size").alias("size"), "source_size",
         "target", F.col("_copies").alias("copies"), (F.col("_copies") * F.col("_size")).alias("taken"),
@@ -157,10 +194,14 @@ def mix(
 
 
 def mixed_documents(docs: DataFrame, seed: int = SEED, **options) -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes it."""
-    mixed = _copies(docs.select("*"), cut_points(docs, seed=seed, **options), seed)
-    times = F.explode(F.sequence(F.lit(1), F.col("_copies")))
-    return mixed.where(F.col("_copies") > 0).select(*(F.col(f"`{c}`") for c in docs.columns), times.alias("_")).drop("_")
+    """The rows of ``docs``, each as often as the mix takes it.
+
+    Nulls, ties and repeated rows are as for ``mix``. Columns may have any names; an empty
+    table gives no rows.
+    """
+    rows = _salted(_keyed(docs, whole_row(docs).alias("_row")))
+    mixed = _copies(rows, _cut_points(rows, seed=seed, **options), seed).where(F.col("_copies") > 0)
+    return mixed.select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("_row.*")
 
 
 def _with(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql.window import Window
 
 from quotemill.llm.components import components
 from quotemill.llm.shared import (
-    MIX, id_bitmap, in_bitmap, land, map_batches, parts, row_key, texts_of, word_hashes,
+    MIX, IdBitmap, land, map_batches, parts, row_key, texts_of, whole_row, word_hashes,
 )
 
 SHINGLE = 5
@@ -194,13 +194,12 @@ def _first_shared(a: Column, b: Column, band: Column, rows: int) -> Column:
 
 
 def _texts_of_classes(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(doc_id, text_key, text) of one document of each class in ``wanted``: a bitmap of
-    fixed size over these documents keeps nearly all other texts out of what follows."""
+    """(doc_id, text_key, text) of one document of each class in ``wanted``: a bitmap over
+    these documents keeps nearly all other texts out of what follows."""
     sources = land(classes.join(wanted, "class").select("class", "doc_id", "text_key"), "wanted")
     here = F.struct("doc_id", "text_key")
     keyed = docs.select(docs["doc_id"].cast("long").alias("doc_id"), row_key().alias("text_key"), "text")
-    bitmap = land(id_bitmap(here, sources), "bitmap")
-    return keyed.where(in_bitmap(here, bitmap.scalar()))
+    return keyed.where(IdBitmap(here, sources).has(here))
 
 
 def bit_signatures(docs: DataFrame, classes: DataFrame, wanted: DataFrame, n: int = SHINGLE) -> DataFrame:
@@ -352,19 +351,21 @@ def _placed(docs: DataFrame, percent: int, n: int) -> DataFrame:
 def keep_one(docs: DataFrame, percent: int = 85, n: int = SHINGLE) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: one document of each group stays, as it is.
 
-    It is the one with the least doc_id (null last) and text key. Of repeated rows of that document one stays; texts without words are all kept. A bitmap of
-    fixed size over the rows that go keeps nearly all others out of the shuffle.
+    It is the one with the least doc_id (null last) and text key. Of repeated rows of that document one
+    stays; texts without words, null or empty, are all kept. Texts of any length are compared whole. Columns may have any
+    names; an empty table gives no rows. A bitmap over the rows that go keeps nearly all others out
+    of the shuffle.
     """
     found = _placed(docs, percent, n).groupBy("doc_id", "text_key").agg(
-        F.bool_or("stays").alias("_kept"), (F.count("*") > 1).alias("_again"), F.max("n_shingles").alias("_n")
+        F.bool_or("stays").alias("kept"), (F.count("*") > 1).alias("again"), F.max("n_shingles").alias("n")
     )
-    odd = land(found.where(~F.col("_kept") | (F.col("_again") & (F.col("_n") > 0))), "odd")
-    keyed = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_key": row_key()})
-    here = F.struct(F.col("_id").alias("doc_id"), F.col("_key").alias("text_key"))
-    bitmap = land(id_bitmap(F.struct("doc_id", "text_key"), odd), "bitmap").scalar()
-    maybe = in_bitmap(here, bitmap)
-    same = F.col("_id").eqNullSafe(F.col("o.doc_id")) & (F.col("_key") == F.col("o.text_key"))
-    touched = keyed.where(maybe).join(odd.alias("o"), same, "left").where("o._kept is null or o._kept")
-    columns = [keyed[c] for c in docs.columns]
-    once = touched.where("o._kept").dropDuplicates(["_id", "_key"]).select(*columns)
-    return keyed.where(~maybe).select(*docs.columns).unionByName(touched.where("o._kept is null").select(*columns)).unionByName(once)
+    odd = land(found.where(~F.col("kept") | (F.col("again") & (F.col("n") > 0))), "odd")
+    here = F.struct("doc_id", "text_key")
+    keyed = docs.select(whole_row(docs).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("text_key"))
+    maybe = IdBitmap(here, odd).has(here)
+    odd = odd.select(F.col("doc_id").alias("odd_id"), F.col("text_key").alias("odd_key"), "kept")
+    same = F.col("doc_id").eqNullSafe(F.col("odd_id")) & (F.col("text_key") == F.col("odd_key"))
+    touched = keyed.where(maybe).join(odd, same, "left").where("kept is null or kept")
+    once = touched.where("kept").dropDuplicates(["doc_id", "text_key"])
+    rest = [keyed.where(~maybe), touched.where("kept is null"), once]
+    return reduce(DataFrame.unionAll, (df.select("row.*") for df in rest))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -17,12 +18,12 @@ from pyspark.sql import types as T
 from quotemill.scratch import land
 
 __all__ = [
-    "MIX", "as_binary", "has_bit", "id_bitmap", "in_bitmap", "land", "map_batches", "pack_slots", "parts",
-    "read", "row_key", "prepare", "texts_of", "word_hashes",
+    "MIX", "IdBitmap", "as_binary", "has_bit", "land", "map_batches", "pack_slots", "parts", "prepare",
+    "read", "row_key", "texts_of", "whole_row", "word_hashes",
 ]
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
-BITMAP_BITS = 1 << 22
+MAX_BITMAP_BITS = 1 << 26
 #: Rows of an Arrow batch, unless the session names another number than Spark's default.
 BATCH_ROWS = 1000
 
@@ -111,9 +112,26 @@ def _array(values) -> pa.Array:
     return values if isinstance(values, pa.Array) else pa.array(values)
 
 
-def id_bitmap(ids: Column, rows: DataFrame, bits: int = BITMAP_BITS) -> DataFrame:
-    """One row with ``bits`` bits as longs: a filter of fixed size over hashed ids."""
-    return pack_slots(rows.select(F.pmod(F.xxhash64(ids), F.lit(bits)).alias("slot")), bits)
+class IdBitmap:
+    """A filter over hashed ids that every task holds: what is not in it is not among the ids.
+
+    Its size follows the number of ids up to ``MAX_BITMAP_BITS`` (8 MiB, enough for four million); with more,
+    more others pass it, and what follows has to tell them apart anyway.
+    """
+
+    def __init__(self, ids: Column, rows: DataFrame) -> None:
+        n = rows.count()
+        self.bits = min(MAX_BITMAP_BITS, max(1 << 16, 1 << math.ceil(math.log2(max(1, 16 * n)))))
+        slots = rows.select(F.pmod(F.xxhash64(ids), F.lit(self.bits)).alias("slot"))
+        self.words = land(pack_slots(slots, self.bits), "bitmap").scalar()
+
+    def has(self, ids: Column) -> Column:
+        return has_bit(self.words, F.pmod(F.xxhash64(ids), F.lit(self.bits)))
+
+
+def whole_row(docs: DataFrame) -> Column:
+    """All columns as one struct: names made beside it cannot clash with theirs. ``row.*`` gives them back."""
+    return F.struct(*(F.col("`" + c.replace("`", "``") + "`") for c in docs.columns))
 
 
 def pack_slots(slots: DataFrame, bits: int) -> DataFrame:
@@ -128,11 +146,6 @@ def pack_slots(slots: DataFrame, bits: int) -> DataFrame:
     return words.agg(F.transform(packed, lambda x: x["bit"]).alias("words"))
 
 
-def in_bitmap(ids: Column, words: Column, bits: int = BITMAP_BITS) -> Column:
-    slot = F.pmod(F.xxhash64(ids), F.lit(bits))
-    return has_bit(words, slot)
-
-
 def has_bit(words: Column, slot: Column) -> Column:
     word = F.get(words, F.shiftright(slot, 6).cast("int"))
     return F.getbit(word, F.pmod(slot, F.lit(64)).cast("int")) == 1

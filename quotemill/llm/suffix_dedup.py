@@ -28,8 +28,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from quotemill.llm.shared import MIX, as_binary, id_bitmap, in_bitmap, land, map_batches, texts_of
+from quotemill.llm.shared import MIX, IdBitmap, as_binary, land, map_batches, texts_of, whole_row
 
 LENGTH = 200
 #: Sampled suffixes are named by so many bytes; the window takes the rest of LENGTH.
@@ -273,8 +274,8 @@ def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     ranges = land(
         coarse.join(twice, "name").groupBy("text_key").agg(F.collect_set(F.struct("low", "high")).alias("ranges")), "ranges"
     )
-    bitmap = land(id_bitmap(F.col("text_key"), ranges), "bitmap").scalar()
-    zones = long_enough.where(in_bitmap(F.col("text_key"), bitmap)).join(ranges, "text_key").select("text_key", "text", "ranges")
+    maybe = IdBitmap(F.col("text_key"), ranges).has(F.col("text_key"))
+    zones = long_enough.where(maybe).join(ranges, "text_key").select("text_key", "text", "ranges")
     fine = land(_distinct(zones, _fine, FINE, "ranges"), "fine")
     hot = fine.groupBy("n1", "n2").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("n1", "n2")
     hot = land(hot, "hot")
@@ -287,26 +288,21 @@ def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _marked(docs: DataFrame) -> DataFrame:
-    """All rows and columns of ``docs`` with ``_ranges`` to remove and ``_copied``.
+    """Every row of ``docs`` as ``row``, with ``ranges`` to remove and whether it is ``copied``.
 
-    A bitmap of fixed size over the texts to change keeps nearly all others out of the
-    shuffle that brings texts and ranges together.
+    A bitmap over the texts to change keeps nearly all others out of the shuffle that brings texts
+    and ranges together.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    keyed = docs.withColumn("_key", F.xxhash64(text))
-    found, copies = repeats(keyed.select(F.col("_key").alias("text_key"), text.alias("text")))
+    found, copies = repeats(docs.select(F.xxhash64(text).alias("text_key"), text.alias("text")))
     marks = found.join(copies.withColumn("copied", F.lit(True)), "text_key", "full")
-    marks = marks.select(
-        F.col("text_key").alias("_key"), F.col("ranges").alias("_ranges"), F.coalesce("copied", F.lit(False)).alias("_copied")
-    )
-    marks = land(marks, "marks")
-    bitmap = land(id_bitmap(F.col("_key"), marks), "bitmap").scalar()
-    maybe = in_bitmap(F.col("_key"), bitmap)
-    none = F.lit(None).cast(marks.schema["_ranges"].dataType)
-    columns = [*docs.columns, "_ranges", "_copied"]
-    clean = keyed.where(~maybe).withColumns({"_ranges": none, "_copied": F.lit(False)})
-    touched = keyed.where(maybe).join(marks, "_key", "left").withColumn("_copied", F.coalesce("_copied", F.lit(False)))
-    return clean.select(*columns).unionByName(touched.select(*columns))
+    marks = land(marks.select("text_key", "ranges", F.coalesce("copied", F.lit(False)).alias("copied")), "marks")
+    keyed = docs.select(whole_row(docs).alias("row"), F.xxhash64(text).alias("text_key"))
+    maybe = IdBitmap(F.col("text_key"), marks).has(F.col("text_key"))
+    none = F.lit(None).cast(marks.schema["ranges"].dataType)
+    clean = keyed.where(~maybe).select("row", none.alias("ranges"), F.lit(False).alias("copied"))
+    touched = keyed.where(maybe).join(marks, "text_key", "left")
+    return clean.unionByName(touched.select("row", "ranges", F.coalesce("copied", F.lit(False)).alias("copied")))
 
 
 def _cut(texts: list[bytes], ranges: list, copied: list[bool]) -> Iterator[tuple[list[tuple[int, int]], bytes]]:
@@ -332,7 +328,8 @@ def _figures(docs: DataFrame, last: str, kind: pa.DataType, view) -> DataFrame:
         }
 
     schema = f"doc_id long, n_bytes long, n_removed long, n_spans long, {last} {kind}"
-    return map_batches(_marked(docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text")), schema, make)
+    marked = _marked(docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text"))
+    return map_batches(marked.select("row.doc_id", "row.text", "ranges", "copied"), schema, make)
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -358,7 +355,8 @@ def clean_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with the remaining text, and ``n_chars`` to fit, if they have that column.
 
     Bytes of a character that a removed run cuts through go too. A row of which nothing
-    remains stays, with an empty text; a null text stays null.
+    remains stays, with an empty text; a null text stays null. Repeated rows are treated alike, texts of
+    any length whole. Columns may have any names; an empty table gives no rows.
     """
     columns = docs.columns
 
@@ -376,4 +374,6 @@ def clean_documents(docs: DataFrame) -> DataFrame:
                 out["n_chars"] = pa.array(sizes, pa.int64()).cast(out["n_chars"].type)
             yield pa.RecordBatch.from_arrays(list(out.values()), columns)
 
-    return _marked(docs).mapInArrow(run, docs.schema)
+    marked = _marked(docs).select("row.*", "ranges", "copied")
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in docs.schema])
+    return marked.toDF(*(f"c{i}" for i in range(len(columns) + 2))).mapInArrow(run, schema)
