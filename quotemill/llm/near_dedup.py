@@ -4,7 +4,7 @@ Documents with equal shingle sets are one *class*; all that follows works on cla
 Classes that agree on all minima of a band share a bucket. A bucket compares a few of its
 classes, the *hubs*, with all others, and never all with all: after a round, links have
 joined most of a bucket into one component, and only classes in a component other than the
-hub's are compared again, with more hubs. A pair that shares several bands is compared in
+hub's are compared again, with more hubs at once. A pair that shares several bands is compared in
 the bucket of the first of them alone. A hub was compared with its whole bucket, so it
 leaves; the rounds end when no bucket has two components left. So every pair of a bucket
 that could join two components is compared, and once.
@@ -42,9 +42,9 @@ SEED = 7
 MINIMA = 200
 #: Bits of the longer signature of classes that the first round leaves, in words of 64.
 BIT_WORDS = 32
-#: Hubs of a bucket: one at first, so many times more in each later round, and at most so many,
-#: for up to which Spark ranks within each partition before it shuffles.
-MORE_HUBS, MOST_HUBS = 32, 1000
+#: Hubs of a bucket: one at first, then so many, for up to which Spark ranks within each
+#: partition before it shuffles.
+MOST_HUBS = 1000
 
 
 def banding(percent: int) -> tuple[int, int]:
@@ -301,7 +301,7 @@ def links(docs: DataFrame, classes: DataFrame, percent: int, n: int = SHINGLE) -
             joined = land(components(found).select(F.col("node").alias("class"), "component"), "joined")
         # A hub was compared with its whole bucket, but for what shared its place.
         members = land(placed.join(hubs.select("bucket", "class"), ["bucket", "class"], "left_anti").select(*columns), "members")
-        n_hubs = min(n_hubs * MORE_HUBS, MOST_HUBS)
+        n_hubs = MOST_HUBS
     return joined if joined is not None else classes.select("class", F.col("class").alias("component")).limit(0)
 
 
