@@ -89,6 +89,30 @@ def test_html_cells(spark):
     assert [tuple(r) for r in got] == [(1, "x"), (2, "y")]
 
 
+def test_nested_tables(spark):
+    page = (
+        "<script>'<table><tr><td>no</td></tr></table>'</script></table>"
+        "<table><tr><td>a</td><td>x<table><tr><td>i1</td><td>i2</td></tr><tr><td>j1</td></tr></table>y</td><td>z</td></tr></table>"
+        "<p>between</p><Table ><tr><th> b\n c </th></tr><tr><td><table><tr><td>k<table><tr><td>deep</td></tr></table></td></tr>"
+    )
+    shown = [(1, page), (2, "<p>none</p>"), (3, None), (4, ""), (5, "<table></table><tablet><tr><td>out</td></tr>")]
+    pages = spark.createDataFrame(shown, "page_id int, html string")
+    cells = {"c1": 1, "c2": 2, "c3": 3}
+
+    def at(depth, **more):
+        got = sources.nested_table_rows(pages, cells, keep=("page_id",), depth=depth, **more)
+        return sorted(map(tuple, got.collect()))
+
+    # The last tables of the page are never closed, so neither is the row that holds them.
+    assert at(1) == [(1, 1, 1, "a", "x i1 i2 j1 y", "z"), (1, 2, 1, "b c", None, None)]
+    assert at(2) == [
+        (1, 1, 1, "i1", "i2", None), (1, 1, 2, "j1", None, None), (1, 2, 1, "k deep", None, None),
+    ]
+    assert at(2, first=2) == [(1, 1, 2, "j1", None, None)]
+    assert at(3) == [(1, 1, 1, "deep", None, None)]
+    assert at(4) == []
+
+
 def test_csv_quoting(spark):
     path = scratch_path(spark, "csv")
     listing = [("A", 'He said "no", then', None, None, "1"), ("B", "back\\slash", " pad ", "x", "2")]

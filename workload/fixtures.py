@@ -191,3 +191,24 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("</table>"),
     )
     return customer.select(F.col("c_custkey").alias("page_id"), html.alias("html"))
+
+
+def nested_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """a page per order: a row for it whose second cell holds a table of its lines, then a row without one.
+
+    The status of a line stands in a third table, in a cell of the second. A table in a comment counts for nothing.
+    """
+    line = F.concat(
+        F.lit("<tr><td>"), F.col("l_linenumber").cast("string"), F.lit("</td>\n<td><table><tr><td>"),
+        F.col("l_linestatus"), F.lit("</td></tr></table></td><td>"), F.col("l_returnflag"), F.lit("</td></tr>"),
+    )
+    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("page_id")).agg(
+        F.sort_array(F.collect_list(F.struct("l_linenumber", "l_suppkey", line.alias("row")))).alias("lines")
+    )
+    inner = F.array_join(F.transform("lines", lambda one: one["row"]), "\n")
+    html = F.concat(
+        F.lit("<!-- <table><tr> --><TABLE class='t'><tr><td>"), F.col("page_id").cast("string"),
+        F.lit("</td><td>lines <TABLE>"), inner, F.lit("</TABLE> end</td><td><b>last</b></td></tr>\n<tr><td>total</td><td>"),
+        F.size("lines").cast("string"), F.lit("</td></tr></TABLE></table>"),
+    )
+    return lines.select("page_id", html.alias("html"))

@@ -286,6 +286,22 @@ SELECT c_custkey AS page_id, CAST(3 AS INT) AS pos, {CUSTOMER} AS "Stock_Code",
   CASE WHEN c_acctbal >= 0 THEN 'EX' || CAST(c_nationkey AS VARCHAR) END AS "Exchange",
   CASE WHEN c_acctbal >= 0 THEN CAST(c_custkey AS VARCHAR) END AS "KLCPNY"
 FROM customer""",
+    "nested_table_rows": """
+WITH orders_of AS (
+  SELECT l_orderkey AS page_id, count(*) AS n,
+    string_agg(CAST(l_linenumber AS VARCHAR) || ' ' || l_linestatus || ' ' || l_returnflag, ' '
+      ORDER BY l_linenumber, l_suppkey, l_linestatus, l_returnflag) AS lines
+  FROM lineitem GROUP BY l_orderkey)
+SELECT page_id, CAST(1 AS INT) AS table_no, CAST(1 AS INT) AS pos, CAST(page_id AS VARCHAR) AS name,
+  'lines ' || lines || ' end' AS content, 'last' AS flag FROM orders_of
+UNION ALL SELECT page_id, 1, 2, 'total', CAST(n AS VARCHAR), NULL FROM orders_of""",
+    "inner_table_rows": """
+WITH line AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_suppkey, l_linestatus, l_returnflag) AS INT) AS nth
+  FROM lineitem)
+SELECT l_orderkey AS page_id, CAST(1 AS INT) AS table_no, nth AS pos, CAST(l_linenumber AS VARCHAR) AS name,
+  l_linestatus AS content, l_returnflag AS flag, CAST(2 AS INT) AS depth FROM line
+UNION ALL SELECT l_orderkey, nth, 1, l_linestatus, NULL, NULL, 3 FROM line""",
     "company_records": """
 SELECT s_suppkey AS id, s_name AS name, CAST(s_nationkey AS BIGINT) AS nation FROM supplier""",
     "company_records_inferred": """

@@ -86,6 +86,24 @@ def table_rows(spark, sf_dir):
     return sources.table_rows(fx.listing_pages(spark, sf_dir), keep=("page_id",))
 
 
+NESTED_CELLS = {"name": 1, "content": 2, "flag": 3}
+
+
+def nested_table_rows(spark, sf_dir):
+    """Rows of outer tables: what stands in an inner table is text of its cell."""
+    return sources.nested_table_rows(fx.nested_pages(spark, sf_dir), NESTED_CELLS, keep=("page_id",))
+
+
+def inner_table_rows(spark, sf_dir):
+    """Rows of the tables inside cells, and of those inside their cells."""
+    pages = fx.nested_pages(spark, sf_dir)
+    levels = [
+        sources.nested_table_rows(pages, NESTED_CELLS, keep=("page_id",), depth=depth).withColumn("depth", F.lit(depth))
+        for depth in (2, 3)
+    ]
+    return levels[0].unionByName(levels[1])
+
+
 COMPANY = T.StructType(
     [
         T.StructField("id", T.LongType()),
@@ -662,6 +680,8 @@ QUERIES: dict[str, Query] = {
     "symbol_scan": symbol_scan,
     "html_rows": html_rows,
     "table_rows": table_rows,
+    "nested_table_rows": nested_table_rows,
+    "inner_table_rows": inner_table_rows,
     "company_records": company_records,
     "company_records_inferred": company_records_inferred,
     "csv_roundtrip": csv_roundtrip,
