@@ -14,6 +14,13 @@ from quotemill.operators.selection import (
     price_page,
     price_range,
 )
+from quotemill.operators.summaries import (
+    KeySummaries,
+    fk_orphans_of_load,
+    key_blocks,
+    pk_violations_of_load,
+    refresh_dimensions,
+)
 from quotemill.operators.symbols import (
     missing_codes,
     position_slice,
@@ -23,8 +30,9 @@ from quotemill.operators.symbols import (
 )
 
 __all__ = [
-    "KeyLedger", "append_new", "assign_keys", "date_id_overflow", "distinct_on_date", "first_record",
-    "fk_orphans", "last_key", "missing_codes", "new_load", "pk_violations", "position_slice",
-    "positions", "price_page", "price_range", "publish_if_complete", "rows_not_in",
+    "KeyLedger", "KeySummaries", "append_new", "assign_keys", "date_id_overflow", "distinct_on_date", "first_record",
+    "fk_orphans", "fk_orphans_of_load", "key_blocks", "last_key", "missing_codes", "new_load",
+    "pk_violations", "pk_violations_of_load", "position_slice", "positions", "price_page",
+    "price_range", "publish_if_complete", "refresh_dimensions", "rows_not_in",
     "symbol_count", "symbol_positions", "symbol_shards", "union_shards", "unmatched_quotes",
 ]

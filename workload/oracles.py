@@ -472,6 +472,19 @@ GROUP BY date_id HAVING count(*) > 1 OR date_id IS NULL""",
         f"{STAR},{FIRST_STAGED},{dims('first_data', 'first_')}", orphans("first_")
     ),
     "fk_orphans_valid": select(STAR, orphans("")),
+    "pk_violations_of_load": select(
+        f"{STAGED},{dates('datetime_dim', 'full_data')}",
+        """
+SELECT date_id, CAST(count(*) AS BIGINT) AS n_rows FROM datetime_dim
+WHERE date_id IN (SELECT date_id FROM datetime_dim WHERE stock_date > DATE '2024-01-10')
+GROUP BY date_id HAVING count(*) > 1""",
+    ),
+    "fk_orphans_of_load": select(
+        f"""{STAGED},{dims('full_data')},
+loaded AS (SELECT * FROM full_data WHERE stock_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'),
+{fact('loaded').lstrip()},{FIRST_STAGED},{dims('first_data', 'first_')}""",
+        orphans("first_"),
+    ),
     "unmatched_quotes": select(
         f"{STAGED},{FIRST_STAGED},{dims('first_data', 'first_')}", unmatched()
     ),

@@ -21,6 +21,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 STREAM_TIMEOUT = 300
 
 MONTH = ("2024-01-01", "2024-01-31")
+STORED_TO = "2024-01-10"
 RELOADED = ("2024-01-10", "2024-01-20")
 LOADS = (("2024-01-01", "2024-01-12"), ("2024-01-09", "2024-01-20"), ("2024-01-21", "2024-01-31"))
 
@@ -468,6 +469,30 @@ def fk_orphans_valid(spark, sf_dir):
     return op.fk_orphans(plans.fact_table(staging, dims), dims)
 
 
+def _summaries(spark: SparkSession) -> op.KeySummaries:
+    return op.KeySummaries(spark, f"{_load_database(spark)}.key_summaries")
+
+
+def pk_violations_of_load(spark, sf_dir):
+    """Ten days of dates are stored; those of the other days are checked against them before they are."""
+    dates = datetime_dim(spark, sf_dir)
+    late = F.col("stock_date") > F.lit(STORED_TO).cast("date")
+    path, summaries = scratch_path(spark, "dates"), _summaries(spark)
+    dates.where(~late).write.partitionBy("stock_date").parquet(path)
+    stored = spark.read.schema(dates.schema).parquet(path)
+    summaries.refresh("datetime_dim", stored, "date_id")
+    return op.pk_violations_of_load(dates.where(late), stored, "datetime_dim", "date_id", summaries)
+
+
+def fk_orphans_of_load(spark, sf_dir):
+    """Facts of some days against summaries of dimensions that only hold first quotes."""
+    staging, dims = _star(spark, sf_dir)
+    summaries = _summaries(spark)
+    op.refresh_dimensions(summaries, _first_load(staging))
+    days = F.col("stock_date").between(*(F.lit(d).cast("date") for d in RELOADED))
+    return op.fk_orphans_of_load(plans.fact_table(staging.where(days), dims), summaries)
+
+
 def unmatched_quotes(spark, sf_dir):
     staging = _staging(spark, sf_dir)
     return op.unmatched_quotes(staging, _first_load(staging))
@@ -733,6 +758,8 @@ QUERIES: dict[str, Query] = {
     "date_id_overflow": date_id_overflow,
     "fk_orphans": fk_orphans,
     "fk_orphans_valid": fk_orphans_valid,
+    "pk_violations_of_load": pk_violations_of_load,
+    "fk_orphans_of_load": fk_orphans_of_load,
     "unmatched_quotes": unmatched_quotes,
     "staging_replace": staging_replace,
     "create_if_absent": create_if_absent,
