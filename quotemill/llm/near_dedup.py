@@ -262,22 +262,28 @@ def links(docs: DataFrame, classes: DataFrame, percent: int, n: int = SHINGLE) -
     signature = classes.select("class", "signature")
     joined, longer = None, None
     n_hubs = 1
-    while True:
+    while not members.isEmpty():
         if joined is None:
+            # Every bucket holds several classes, each a component of its own.
             placed = members.withColumn("place", F.col("class"))
         else:
             placed = members.join(joined, "class", "left").withColumn("place", F.coalesce("component", "class"))
-        split = placed.groupBy("bucket").agg(F.min("place").alias("low"), F.max("place").alias("high"))
-        split = split.where("low <> high").select("bucket")
-        placed = land(placed.join(split, "bucket").select(*columns, "place"), "placed")
-        if placed.isEmpty():
-            break
+            split = placed.groupBy("bucket").agg(F.min("place").alias("low"), F.max("place").alias("high"))
+            split = split.where("low <> high").select("bucket")
+            placed = land(placed.join(split, "bucket").select(*columns, "place"), "placed")
+            if placed.isEmpty():
+                break
         if joined is not None and longer is None:
             bits = bit_signatures(docs, classes, placed.select("class").distinct(), n)
             signature = longer = land(signature.join(bits, "class"), "signatures")
         rank = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("weight"), "class"))
         hubs = land(placed.withColumn("hub", rank).where(F.col("hub") <= n_hubs), "hubs")
-        ranked = placed.join(hubs.select("bucket", "class", "hub"), ["bucket", "class"], "left").join(signature, "class")
+        if joined is None:
+            # The only hub of a bucket is told from the others by its place.
+            ranked = placed.withColumn("hub", F.lit(None).cast("int"))
+        else:
+            ranked = placed.join(hubs.select("bucket", "class", "hub"), ["bucket", "class"], "left")
+        ranked = ranked.join(signature, "class")
         hub = hubs.join(signature, "class").select(
             "bucket", F.col("class").alias("u"), F.col("n_shingles").alias("nu"), F.col("place").alias("pu"),
             F.col("hub").alias("hu"), F.col("signature").alias("su"), *([F.col("bits").alias("bu")] if longer is not None else []),
