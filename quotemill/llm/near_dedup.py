@@ -45,6 +45,8 @@ BIT_WORDS = 32
 #: Hubs of a bucket: one at first, then so many, for up to which Spark ranks within each
 #: partition before it shuffles.
 MOST_HUBS = 1000
+#: Classes of a bucket that one task compares with the bucket's hubs.
+BLOCK = 2000
 
 
 def banding(percent: int) -> tuple[int, int]:
@@ -219,9 +221,48 @@ def bit_signatures(docs: DataFrame, classes: DataFrame, wanted: DataFrame, n: in
     return made.join(wanted, "class", "left_semi").groupBy("class").agg(F.first("bits").alias("bits"))
 
 
-def _bits_agree(a: Column, b: Column, percent: int) -> Column:
-    differ = sum((F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(BIT_WORDS)), F.lit(0))
-    return differ <= most_differing(percent, 64 * BIT_WORDS)
+def _rows_of(column: pa.ChunkedArray, width: int) -> np.ndarray:
+    """Lists of one length as the rows of an array."""
+    return column.combine_chunks().flatten().to_numpy().reshape(-1, width)
+
+
+def family_pairs(ranked: DataFrame, hubs: DataFrame, percent: int, bands: int, band_rows: int) -> DataFrame:
+    """(u, v): hubs and classes of their bucket that may be similar, by sizes and longer signatures.
+
+    Both have bucket, band, class, n_shingles, place, hub, n, bits and signature. A bucket of ``n`` classes is cut
+    by hash into blocks of about ``BLOCK``, each of which meets all hubs in a task of its own;
+    only pairs that pass leave it.
+    """
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    ranked = ranked.withColumn("block", F.pmod(F.xxhash64("class"), blocks).cast("int"))
+    # Both sides come from the same tables: columns of one of them get an identity of their own.
+    hubs = hubs.select(*(F.col(c).alias(c) for c in hubs.columns)).withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    most, n_hashes = most_differing(percent, 64 * BIT_WORDS), max(MINIMA, bands * band_rows)
+
+    def compare(members: pa.Table, heads: pa.Table) -> pa.Table:
+        found: list[tuple[bytes, bytes]] = []
+        if members.num_rows and heads.num_rows:
+            sizes, bits, minima = [], [], []
+            for side in (members, heads):
+                sizes.append(side["n_shingles"].to_numpy())
+                # Counted as unsigned words: of a negative number numpy counts the bits of its absolute value.
+                bits.append(_rows_of(side["bits"], BIT_WORDS).view(np.uint64))
+                minima.append(_rows_of(side["signature"], n_hashes)[:, : bands * band_rows].reshape(-1, bands, band_rows))
+            names, places = members["class"].to_pylist(), np.array(members["place"].to_pylist(), dtype=object)
+            # Who is no hub comes after all hubs.
+            ranks = members["hub"].fill_null(MOST_HUBS + 1).to_numpy()
+            band = heads["band"][0].as_py()
+            for j, (u, place, rank) in enumerate(zip(heads["class"].to_pylist(), heads["place"].to_pylist(), heads["hub"].to_pylist())):
+                small, large = np.minimum(sizes[0], sizes[1][j]), np.maximum(sizes[0], sizes[1][j])
+                at = np.flatnonzero((ranks > rank) & (100 * small >= percent * large) & (places != place))
+                at = at[np.bitwise_count(bits[0][at] ^ bits[1][j]).sum(axis=1) <= most]
+                # A pair counts in the first band it shares.
+                before = (minima[0][at, :band] == minima[1][j, :band]).all(axis=2).any(axis=1)
+                found += [(u, names[i]) for i in at[~before]]
+        return pa.table({"u": pa.array([u for u, _ in found], pa.binary()), "v": pa.array([v for _, v in found], pa.binary())})
+
+    by = ("bucket", "block")
+    return ranked.groupBy(*by).cogroup(hubs.groupBy(*by)).applyInArrow(compare, "u binary, v binary")
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: int, n: int = SHINGLE) -> DataFrame:
@@ -268,9 +309,11 @@ def links(docs: DataFrame, classes: DataFrame, percent: int, n: int = SHINGLE) -
             placed = members.withColumn("place", F.col("class"))
         else:
             placed = members.join(joined, "class", "left").withColumn("place", F.coalesce("component", "class"))
-            split = placed.groupBy("bucket").agg(F.min("place").alias("low"), F.max("place").alias("high"))
-            split = split.where("low <> high").select("bucket")
-            placed = land(placed.join(split, "bucket").select(*columns, "place"), "placed")
+            split = placed.groupBy("bucket").agg(
+                F.min("place").alias("low"), F.max("place").alias("high"), F.count("*").alias("n")
+            )
+            split = split.where("low <> high").select("bucket", "n")
+            placed = land(placed.join(split, "bucket").select(*columns, "place", "n"), "placed")
             if placed.isEmpty():
                 break
         if joined is not None and longer is None:
@@ -278,27 +321,26 @@ def links(docs: DataFrame, classes: DataFrame, percent: int, n: int = SHINGLE) -
             signature = longer = land(signature.join(bits, "class"), "signatures")
         rank = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("weight"), "class"))
         hubs = land(placed.withColumn("hub", rank).where(F.col("hub") <= n_hubs), "hubs")
-        if joined is None:
-            # The only hub of a bucket is told from the others by its place.
-            ranked = placed.withColumn("hub", F.lit(None).cast("int"))
-        else:
+        # In the first round the only hub of a bucket is told from the others by its place.
+        ranked = placed
+        if joined is not None:
             ranked = placed.join(hubs.select("bucket", "class", "hub"), ["bucket", "class"], "left")
         ranked = ranked.join(signature, "class")
-        hub = hubs.join(signature, "class").select(
-            "bucket", F.col("class").alias("u"), F.col("n_shingles").alias("nu"), F.col("place").alias("pu"),
-            F.col("hub").alias("hu"), F.col("signature").alias("su"), *([F.col("bits").alias("bu")] if longer is not None else []),
-        )
-        if longer is not None:
-            alike = _bits_agree(F.col("bits"), F.col("bu"), percent)
+        if joined is None:
+            hub = hubs.join(signature, "class").select(
+                "bucket", F.col("class").alias("u"), F.col("n_shingles").alias("nu"),
+                F.col("place").alias("pu"), F.col("signature").alias("su"),
+            )
+            worth = (
+                (ranked["bucket"] == hub["bucket"]) & (F.col("place") != F.col("pu"))
+                & _close(F.col("n_shingles"), F.col("nu"), percent)
+                & _agree(F.col("signature"), F.col("su"), percent, n_hashes)
+                & _first_shared(F.col("signature"), F.col("su"), F.col("band"), band_rows)
+            )
+            found = ranked.join(hub, worth).select("u", F.col("class").alias("v"))
         else:
-            alike = _agree(F.col("signature"), F.col("su"), percent, n_hashes)
-        worth = (
-            (ranked["bucket"] == hub["bucket"]) & (F.col("place") != F.col("pu"))
-            & (F.col("hub").isNull() | (F.col("hub") > F.col("hu")))
-            & _close(F.col("n_shingles"), F.col("nu"), percent) & alike
-            & _first_shared(F.col("signature"), F.col("su"), F.col("band"), band_rows)
-        )
-        pairs = land(ranked.join(hub, worth).select("u", F.col("class").alias("v")), "pairs")
+            found = family_pairs(ranked, hubs.join(signature, "class"), percent, bands, band_rows)
+        pairs = land(found, "pairs")
         new = pairs if pairs.isEmpty() else land(confirmed(pairs, docs, classes, percent, n), "links")
         if joined is None or not new.isEmpty():
             # Components so far are stars, of the same reach as the links that made them.

@@ -92,6 +92,30 @@ def test_near_duplicates(docs, rows, empty):
     assert near_dedup.near_duplicates(empty).count() == 0
 
 
+@pytest.mark.parametrize("block", [near_dedup.BLOCK, 7])
+def test_family_of_variants(spark, monkeypatch, block):
+    """Variants of one text, most of them not linked, are compared in blocks and lose no link."""
+    prepare(spark)
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    rng, rows = random.Random(3), []
+    for i in range(160):
+        words = [f"w{k}" for k in range(300)]
+        for _ in range(rng.choice([2, 4, 6, 8, 10])):
+            words[rng.randrange(300)] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    sets, name = [shingles(text) for _, text in rows], list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 100 * len(a & sets[j]) >= 85 * len(a | sets[j]) and name[i] != name[j]:
+                low, high = sorted((name[i], name[j]))
+                name = [low if n == high else n for n in name]
+    compared, family_pairs = [], near_dedup.family_pairs
+    monkeypatch.setattr(near_dedup, "family_pairs", lambda *a: compared.append(1) or family_pairs(*a))
+    found = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == dict(enumerate(name))
+    assert compared and len(set(name)) > 100
+
+
 @pytest.mark.parametrize("percent", [5, 50, 70, 80, 85, 95, 100])
 def test_bands_and_signatures_miss_as_stated(percent):
     bands, rows = near_dedup.banding(percent)
