@@ -81,10 +81,13 @@ class Block:
         flags[self.start[good]] += 1
         flags[(self.start + sizes)[good] - length + 1] -= 1
         self.windows = np.flatnonzero(np.cumsum(flags)[: self.total])
-        self.piece_of = lambda at: np.searchsorted(self.start, at, side="right") - 1
         self.keys = np.array([p[0] for p in some], dtype=np.int64)
         self.offset = np.array([p[1] for p in some], dtype=np.int64)
 
+    def piece_of(self, at: np.ndarray) -> np.ndarray:
+        # Not a function kept by the block: that would be a cycle, and blocks would pile up until a collection.
+        return np.searchsorted(self.start, at, side="right") - 1
+
     def name(self, at: np.ndarray | slice, n: int, salt: int) -> np.ndarray:
         """Name of the ``n`` bytes from each place on, by the names of their blocks of 8."""
         x = np.uint64(salt)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import math
 import random
 import re
+import weakref
 import zlib
 from collections import Counter
 
@@ -208,6 +210,22 @@ def test_common_names_are_counted_by_window(docs, monkeypatch):
     assert pairs_of(suffix_dedup.digests(docs), "doc_id", "n_removed", "kept_sha256") == want
 
 
+def test_blocks_of_texts_do_not_pile_up():
+    """A block is some ten times its text; a worker must be rid of it before it makes the next."""
+    rng = random.Random(5)
+    found = []
+    gc.disable()
+    try:
+        for make in (suffix_dedup._coarse, suffix_dedup._fine):
+            block = suffix_dedup.Block([(1, 0, prose(rng, 200).encode())], suffix_dedup.LENGTH)
+            make(block)
+            found.append(weakref.ref(block))
+            del block
+        assert [x() for x in found] == [None, None]
+    finally:
+        gc.enable()
+
+
 def test_mix(docs, rows, empty):
     found = mixing.mix(docs).collect()
     assert len(found) == len(rows)
