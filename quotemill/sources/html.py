@@ -14,7 +14,7 @@ MARKUP = r"(?s)<[^>]*>"
 
 # What holds no table although it may look so, where a table begins or ends, and the
 # tags of rows and cells.
-NOT_CONTENT = r"(?is)<!--.*?-->|<(script|style)\b[^>]*>.*?</\1\s*>"
+NOT_CONTENT = r"(?is)<(?:!--.*?-->|(script|style)\b[^>]*>.*?</\1\s*>)"
 TABLE_BORDER = r"(?i)(?=</?table\b)"
 ROW_OR_CELL_TAG = r"(?i)</?t[rdh]\b[^>]*>"
 # Begins the text of a table; taken out of pages before.
@@ -36,7 +36,9 @@ def html_rows(
 ) -> DataFrame:
     """Each match of ``pattern`` (its group 1) with ``pos`` counted from 1 per page."""
     matches = F.regexp_extract_all(F.col(html), F.lit(pattern), F.lit(1))
-    rows = pages.select(*keep, F.posexplode(matches).alias("pos", name)).withColumn(
+    # The inner explode would be given a filter that looks for all matches once or twice more. A
+    # page without matches has no position, which ``wanted`` does not let through.
+    rows = pages.select(*keep, F.posexplode_outer(matches).alias("pos", name)).withColumn(
         "pos", F.col("pos") + 1
     )
     wanted = F.col("pos") >= first
@@ -74,22 +76,18 @@ def _tables_at(html: Column, depth: int) -> Column:
     A page is cut only where tables begin and end, so the state carried from piece to piece is
     one number, and the pieces kept are as many as there are such tags.
     """
-    content = F.translate(F.regexp_replace(html, NOT_CONTENT, " "), TABLE_MARK, "")
-
-    def border(piece: Column) -> Column:
-        by = F.when(piece.rlike(r"(?i)^<table\b"), 1).when(piece.rlike(r"(?i)^</table\b"), -1).otherwise(0)
-        return F.struct(by.alias("by"), piece.alias("text"))
-
-    pieces = F.transform(F.split(content, TABLE_BORDER), border)
+    content = F.replace(F.regexp_replace(html, NOT_CONTENT, " "), F.lit(TABLE_MARK), F.lit(""))
+    # With a blank in front, every piece but the first begins with a tag, and the first with none.
+    pieces = F.split(F.concat(F.lit(" "), content), TABLE_BORDER)
     start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("kept"))
 
     def step(state: Column, piece: Column) -> Column:
-        now = F.greatest(F.lit(0), state["depth"] + piece["by"])
-        first = F.when(piece["by"] == 1, F.lit(TABLE_MARK)).otherwise(F.lit(" "))
-        text = F.when(now == depth, F.concat(first, piece["text"])).when(
-            now > depth, F.regexp_replace(piece["text"], ROW_OR_CELL_TAG, " ")
-        )
-        return F.struct(now.alias("depth"), F.concat(state["kept"], F.array_compact(F.array(text))).alias("kept"))
+        ends, begins = piece.startswith("</"), piece.startswith("<")
+        now = F.when(ends, F.greatest(F.lit(0), state["depth"] - 1)).when(begins, state["depth"] + 1).otherwise(0)
+        first = F.when(begins & ~ends, F.lit(TABLE_MARK)).otherwise(F.lit(" "))
+        text = F.when(now == depth, F.concat(first, piece)).otherwise(F.regexp_replace(piece, ROW_OR_CELL_TAG, " "))
+        kept = F.when(now >= depth, F.concat(state["kept"], F.array(text))).otherwise(state["kept"])
+        return F.struct(now.alias("depth"), kept.alias("kept"))
 
     marked = F.array_join(F.aggregate(pieces, start, step)["kept"], "")
     # What stands before the first mark is empty.

@@ -113,6 +113,23 @@ def test_nested_tables(spark):
     assert at(4) == []
 
 
+def test_rows_of_a_page_are_searched_for_once(spark):
+    """An inner explode is given filters that run the search again for every page."""
+    frame = spark.createDataFrame([(1, "<table><tr><td>a</td></tr></table>"), (2, None), (3, "")], "page_id int, html string")
+    path = scratch_path(spark, "html")
+    frame.write.parquet(path)
+    frame = spark.read.parquet(path)
+    for found in (
+        sources.html_rows(frame, "<td>(.*?)</td>", "cell", keep=("page_id",)),
+        sources.table_rows(frame, {"c": 1}, keep=("page_id",), first=1),
+        sources.nested_table_rows(frame, {"c": 1}, keep=("page_id",)),
+    ):
+        shown = found._jdf.queryExecution().optimizedPlan().toString()
+        generated = [line for line in shown.splitlines() if "regexp_extract_all(" in line and "Filter" in line]
+        assert not generated, shown
+        assert found.count() == 1
+
+
 def test_csv_quoting(spark):
     path = scratch_path(spark, "csv")
     listing = [("A", 'He said "no", then', None, None, "1"), ("B", "back\\slash", " pad ", "x", "2")]

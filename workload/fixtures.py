@@ -198,13 +198,17 @@ def nested_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The status of a line stands in a third table, in a cell of the second. A table in a comment counts for nothing.
     """
-    line = F.concat(
-        F.lit("<tr><td>"), F.col("l_linenumber").cast("string"), F.lit("</td>\n<td><table><tr><td>"),
-        F.col("l_linestatus"), F.lit("</td></tr></table></td><td>"), F.col("l_returnflag"), F.lit("</td></tr>"),
-    )
-    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("page_id")).agg(
-        F.sort_array(F.collect_list(F.struct("l_linenumber", "l_suppkey", line.alias("row")))).alias("lines")
-    )
+    def row(line: Column) -> Column:
+        return F.concat(
+            F.lit("<tr><td>"), line["l_linenumber"].cast("string"), F.lit("</td>\n<td><table><tr><td>"),
+            line["l_linestatus"], F.lit("</td></tr></table></td><td>"), line["l_returnflag"], F.lit("</td></tr>"),
+        )
+
+    # The text of a line is made after the shuffle: it is several times as long as what it is made of.
+    columns = F.struct("l_linenumber", "l_suppkey", "l_linestatus", "l_returnflag")
+    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("page_id")).agg(F.collect_list(columns).alias("lines"))
+    ordered = F.transform("lines", lambda one: F.struct(one["l_linenumber"], one["l_suppkey"], row(one).alias("row")))
+    lines = lines.select("page_id", F.sort_array(ordered).alias("lines"))
     inner = F.array_join(F.transform("lines", lambda one: one["row"]), "\n")
     html = F.concat(
         F.lit("<!-- <table><tr> --><TABLE class='t'><tr><td>"), F.col("page_id").cast("string"),
