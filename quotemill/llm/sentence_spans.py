@@ -13,6 +13,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,9 +36,10 @@ def sentences(text: bytes) -> list[bytes]:
     """The text cut into sentences with the separators after them; joined they are the text."""
     out = []
     for sentence in SENTENCE.findall(text):
-        if len(sentence) < 2 * LONG_SENTENCE or len(words := WORD.findall(sentence)) <= LONG_SENTENCE:
+        if len(sentence) < 2 * LONG_SENTENCE or len(sentence.split()) <= LONG_SENTENCE:
             out.append(sentence)
             continue
+        words = WORD.findall(sentence)
         lead = sentence[: len(sentence) - sum(map(len, words))]
         words[0] = lead + words[0]
         cuts = [0, *_cuts(words), len(words)]
@@ -47,21 +49,33 @@ def sentences(text: bytes) -> list[bytes]:
 
 def _cuts(words: list[bytes]) -> list[int]:
     """Places of the words that begin a piece, after the first."""
-    h = word_hashes([w.strip().lower() for w in words])
-    windows = np.lib.stride_tricks.sliding_window_view(h, WINDOW)
-    least = np.unique(np.arange(len(windows)) + WINDOW - 1 - windows[:, ::-1].argmin(axis=1))
-    return least[least > 0].tolist()
+    h = [xxhash.xxh3_64_intdigest(w.strip().lower()) for w in words]
+    # The place in use stays until it leaves the window or a hash as small comes in: no arrays for a few dozen words.
+    least, out = 0, []
+    for i, x in enumerate(h):
+        if least <= i - WINDOW:
+            least = min(range(i, i - WINDOW, -1), key=h.__getitem__)
+        elif x <= h[least]:
+            least = i
+        if i >= WINDOW - 1 and least > (out[-1] if out else 0):
+            out.append(least)
+    return out
 
 
 def spans(texts: list[bytes], min_sentences: int, min_words: int, tails: bool = False) -> tuple[np.ndarray, ...]:
     """Owner (place in ``texts``), first sentence, sentences and two hashes of each span."""
-    cut = [[s.lower().split() for s in sentences(t)] for t in texts]
-    sizes = np.array([len(c) for c in cut], dtype=np.int64)
+    # Cuts are the same in lower case. Words are counted and joined, and then gone: kept as objects
+    # for a whole slice they would be many times its text.
+    n_words, joined, sizes = [], [], np.zeros(len(texts), dtype=np.int64)
+    for i, text in enumerate(texts):
+        cut = [sentence.split() for sentence in sentences(text.lower())]
+        sizes[i] = len(cut)
+        n_words += map(len, cut)
+        joined += map(b" ".join, cut)
     owner = np.repeat(np.arange(len(texts)), sizes)
-    flat = [w for c in cut for w in c]
     # Sentences without words join no span of their own but stay in place.
-    n_words = np.array([len(w) for w in flat], dtype=np.int64)
-    h = word_hashes([b" ".join(w) for w in flat])
+    n_words = np.array(n_words, dtype=np.int64)
+    flat, h = joined, word_hashes(joined)
     total = np.concatenate([[0], np.cumsum(n_words)])
     at = np.arange(len(flat))
     until = np.cumsum(sizes)[owner] if len(flat) else at
@@ -137,7 +151,8 @@ def remove_repeats(
             out["n_sentences"].append(len(cut))
             out["n_removed"].append(len(gone))
             out["removed"].append(bool(gone))
-            out["text"].append(b"".join(s for i, s in enumerate(cut) if i not in gone).decode())
+            left = b"".join(s for i, s in enumerate(cut) if i not in gone) if gone else text
+            out["text"].append(left.decode())
         return {"doc_id": batch.column(0), **out}
 
     return map_batches(marked, "doc_id long, n_sentences long, n_removed long, removed boolean, text string", make)

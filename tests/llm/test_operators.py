@@ -13,6 +13,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -392,6 +393,19 @@ def test_sentence_spans(docs, rows, empty):
     assert sentence_spans.remove_repeats(empty).count() == 0
 
 
+def test_cuts_of_a_long_sentence_need_no_arrays(monkeypatch):
+    """At the last of the least hashes of each window, without an array for every sentence."""
+    rng = random.Random(4)
+    long_ones = [[rng.choice([b"ab ", b"cd ", b"Ef  ", b"g\t"]) for _ in range(n)] for n in (26, 27, 40, 90)]
+    long_ones += [[b"same "] * 60, [b"w%d " % rng.randrange(99) for _ in range(200)]]
+    width = sentence_spans.WINDOW
+    monkeypatch.setattr(sentence_spans, "np", None)
+    for words in long_ones:
+        h = [xxhash.xxh3_64_intdigest(w.strip().lower()) for w in words]
+        want = {max(i for i in range(a, a + width) if h[i] == min(h[a : a + width])) for a in range(len(h) - width + 1)}
+        assert list(sentence_spans._cuts(words)) == sorted(want - {0})
+
+
 def test_every_repeated_run_of_sentences_goes(spark):
     prepare(spark)
     rng = random.Random(11)
