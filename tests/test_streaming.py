@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from quotemill import sinks, streaming
 from quotemill.schemas import QUOTE_MESSAGE, stream_table_schema
 from quotemill.scratch import delete_folder, scratch_path
 from quotemill.streaming import sink
+from workload import fixtures, queries
 
 TIMEOUT = 120
 
@@ -266,3 +268,29 @@ def test_jdbc_rows_carry_their_batch(spark):
     write(streaming.decode_quotes(batch(spark, [message("A")])), 7)
     stored = spark.read.parquet(path).first()
     assert stored.batch == "s/7" and stored.changeCol == 0.5
+
+
+def one_file_of_events(spark, folder):
+    rows = spark.range(400).selectExpr(
+        "id as event_id", "timestamp'2024-01-01 10:00:00' + make_interval(0, 0, 0, cast(id % 5 as int)) as ts", "id % 7 as user_id",
+        "'click' as event_type", "cast(id % 50 as double) as value", "concat('{\"k\":', id % 9, '}') as props",
+    )
+    rows.coalesce(1).write.parquet(f"{folder}/events.parquet")
+    return str(folder)
+
+
+def files_of(path):
+    return list(Path(path).glob("part-*.parquet"))
+
+
+def test_topic_is_made_once_and_by_many_tasks(spark, tmp_path, monkeypatch):
+    folder, topics = one_file_of_events(spark, tmp_path), []
+
+    def remember(session, label="data"):
+        topics.append(scratch_path(session, label))
+        return topics[-1]
+
+    monkeypatch.setattr(fixtures, "scratch_path", remember)
+    stored = queries.stream_recreated_checkpoint(spark, folder)
+    assert sorted(r.id for r in stored.select("id").collect()) == list(range(1, 801))
+    assert len(topics) == 1 and len(files_of(topics[0])) > 1

@@ -131,6 +131,12 @@ def messages_of(events: DataFrame) -> DataFrame:
     return quotes.select(value.alias("value"), stamp.alias("timestamp"))
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """The rows over as many tasks as run at once: a short table may lie in few row groups, and
+    what is made of its rows is many times as long."""
+    return rows.repartition(max(2, rows.sparkSession.sparkContext.defaultParallelism))
+
+
 def messages_plain(quotes: DataFrame) -> DataFrame:
     """Each quote as a JSON message."""
     return quotes.select(to_message(quotes.columns).alias("value"))
@@ -138,7 +144,7 @@ def messages_plain(quotes: DataFrame) -> DataFrame:
 
 def message_stream(spark: SparkSession, sf_dir: str, broken: bool = False) -> DataFrame:
     """The messages as a stream over files, with the columns of a topic."""
-    events = table(spark, sf_dir, "events")
+    events = spread(table(spark, sf_dir, "events"))
     if broken:
         messages = messages_of(events)
     else:

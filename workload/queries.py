@@ -661,8 +661,9 @@ def stream_two_sinks(spark, sf_dir):
 def stream_recreated_checkpoint(spark, sf_dir):
     """A checkpoint is deleted and begun again at its old path: nothing is erased."""
     path, checkpoint = scratch_path(spark, "stream_table"), scratch_path(spark, "checkpoint")
+    # Both read one topic: its messages are made once.
+    messages = fx.message_stream(spark, sf_dir)
     for _ in range(2):
-        messages = fx.message_stream(spark, sf_dir)
         for query in streaming.start_quote_stream(messages, path, checkpoint, once=True):
             streaming.run_to_end(query, STREAM_TIMEOUT)
         delete_folder(spark, checkpoint)
