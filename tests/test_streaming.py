@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quotemill import sinks, streaming
 from quotemill.schemas import QUOTE_MESSAGE, stream_table_schema
-from quotemill.scratch import delete_folder, scratch_path
+from quotemill.scratch import delete_folder, land, scratch_path
 from quotemill.streaming import sink
 from workload import fixtures, queries
 
@@ -294,3 +294,16 @@ def test_topic_is_made_once_and_by_many_tasks(spark, tmp_path, monkeypatch):
     stored = queries.stream_recreated_checkpoint(spark, folder)
     assert sorted(r.id for r in stored.select("id").collect()) == list(range(1, 801))
     assert len(topics) == 1 and len(files_of(topics[0])) > 1
+
+
+def test_messages_of_both_halves_are_made_once_and_by_many_tasks(spark, tmp_path, monkeypatch):
+    folder, landed = one_file_of_events(spark, tmp_path), {}
+
+    def remember(df, label="landed", path=None):
+        landed[label] = path or scratch_path(df.sparkSession, label)
+        return land(df, label, landed[label])
+
+    monkeypatch.setattr(queries, "land", remember)
+    stored = queries.stream_compacted(spark, folder)
+    assert stored.count() == 400 and stored.where("not ids_dense").isEmpty()
+    assert len(files_of(landed["messages"])) > 1

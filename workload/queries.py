@@ -673,10 +673,13 @@ def stream_recreated_checkpoint(spark, sf_dir):
 def stream_compacted(spark, sf_dir):
     """Several batches, compacted, more batches, compacted again: each message once, ids dense."""
     path, checkpoint, topic = (scratch_path(spark, x) for x in ("stream_table", "checkpoint", "topic"))
-    quotes = fx.quotes_raw(spark, sf_dir)
-    messages = fx.messages_plain(quotes).withColumn("half", F.pmod(F.xxhash64("value"), F.lit(2)))
+    quotes = fx.quotes_of(fx.spread(fx.table(spark, sf_dir, "events")))
+    # Landed, so that each message is made once and not for either half.
+    messages = land(fx.messages_plain(quotes).withColumn("half", F.pmod(F.xxhash64("value"), F.lit(2))), "messages")
     for half in range(2):
-        messages.where(F.col("half") == half).select("value").repartition(4).write.mode("append").parquet(topic)
+        # A file is a batch: row groups of 16 MB, so that it is decoded by many tasks.
+        chosen = messages.where(F.col("half") == half).select("value").repartition(4)
+        chosen.write.mode("append").option("parquet.block.size", 16 << 20).parquet(topic)
         source = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).parquet(topic)
         for query in streaming.start_quote_stream(source, path, checkpoint, once=True):
             streaming.run_to_end(query, STREAM_TIMEOUT)
