@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from quotemill.llm.shared import map_batches, parts, texts_of
+from quotemill.llm.shared import hold, map_batches, parts, texts_of
 
 #: Trie nodes and encoded words that a task holds before it starts both anew.
 MAX_NODES = 500_000
@@ -301,9 +301,10 @@ _encoders: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
-    """One encoder for each tokenizer file in each Python worker."""
+    """One encoder for each tokenizer file in each Python worker, until another operator works there."""
     if path not in _encoders:
         _encoders[path] = Encoder(path)
+        hold(__name__, _encoders.clear)
     return _encoders[path]
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import math
 import tempfile
 import zipfile
@@ -18,7 +19,7 @@ from pyspark.sql import types as T
 from quotemill.scratch import land
 
 __all__ = [
-    "MIX", "IdBitmap", "as_binary", "has_bit", "land", "map_batches", "pack_slots", "parts", "prepare",
+    "MIX", "IdBitmap", "as_binary", "has_bit", "hold", "land", "let_go", "map_batches", "pack_slots", "parts", "prepare",
     "read", "row_key", "texts_of", "whole_row", "word_hashes",
 ]
 
@@ -89,6 +90,23 @@ def as_binary(rows: np.ndarray) -> pa.Array:
     )
 
 
+_held: dict[str, Callable[[], None]] = {}
+
+
+def hold(owner: str, release: Callable[[], None]) -> None:
+    """``release`` frees what the module ``owner`` keeps in this Python worker from task to task."""
+    _held[owner] = release
+
+
+def let_go(user: str) -> None:
+    """Free what modules other than ``user`` keep: Spark gives a worker to the stages of all operators."""
+    others = [owner for owner in _held if owner != user]
+    for owner in others:
+        _held.pop(owner)()
+    if others:
+        gc.collect()
+
+
 def map_batches(
     df: DataFrame, schema: T.StructType | str, make: Callable[[pa.RecordBatch], dict]
 ) -> DataFrame:
@@ -96,6 +114,7 @@ def map_batches(
     kind = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go(make.__module__)
         for batch in batches:
             if batch.num_rows:
                 columns = make(batch)
