@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import math
+import re
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -19,8 +20,8 @@ from pyspark.sql import types as T
 from quotemill.scratch import land
 
 __all__ = [
-    "MIX", "IdBitmap", "as_binary", "has_bit", "hold", "land", "let_go", "map_batches", "pack_slots", "parts", "prepare",
-    "read", "row_key", "texts_of", "whole_row", "word_hashes",
+    "MIX", "Chunks", "IdBitmap", "as_binary", "cuts_letters", "has_bit", "hold", "land", "let_go", "letters_and_marks", "map_batches",
+    "pack_slots", "parts", "prepare", "read", "row_key", "texts_of", "whole_row", "word_hashes",
 ]
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -90,6 +91,76 @@ def as_binary(rows: np.ndarray) -> pa.Array:
     )
 
 
+#: ASCII marks but the apostrophe, which some letters after it join.
+MARKS = rb"""!"#$%&()*+,-./:;<=>?@[\]^_`{|}~"""
+LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
+NORMAL = ["NFC", "Replace", "Lowercase"]
+CUT = r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def cuts_letters(tokenizer: dict) -> bool:
+    """Whether a tokenizer (its file's content) lower-cases and makes words of letters and of marks apart,
+    so that both parts of ``letters_and_marks`` are encoded as if alone."""
+    normal = [x["type"] for x in (tokenizer["normalizer"] or {}).get("normalizers", [])]
+    steps = (tokenizer["pre_tokenizer"] or {}).get("pretokenizers", [])
+    if normal != NORMAL or [x["type"] for x in steps] != ["Split", "ByteLevel"]:
+        return False
+    split, spelt = steps
+    *joined, letters, digits, marks = split["pattern"].get("Regex", "").split("|")
+    cut = split["invert"] and split["behavior"] == "Removed" and not spelt["use_regex"] and not spelt["add_prefix_space"]
+    return cut and "|".join([letters, digits, marks]) == CUT and all(x.startswith("'") for x in joined)
+
+
+def letters_and_marks(chunk: bytes) -> tuple[bytes, bytes] | None:
+    """A chunk of Latin letters and marks after them, if any: the letters in lower case, and the marks.
+
+    These letters are the same in every normal form and never part of a longer symbol with a mark.
+    """
+    letters = chunk.rstrip(MARKS)
+    if letters.isalpha():
+        return letters.lower(), chunk[len(letters) :]
+    text = letters.decode()
+    return (text.lower().encode(), chunk[len(letters) :]) if LATIN(text) else None
+
+
+class Chunks(dict[bytes, int]):
+    """Numbers chunks of texts as they first come. What is known of a chunk is found in lists by its
+    number, so a word of a text is looked up by its bytes only once. ``new`` are the chunks since it was emptied."""
+
+    def __init__(self) -> None:
+        self.new: list[bytes] = []
+
+    def __missing__(self, chunk: bytes) -> int:
+        number = self[chunk] = len(self)
+        self.new.append(chunk)
+        return number
+
+    def parted(self) -> tuple[list[bytes], list[bytes], list[tuple[int, int, int]]]:
+        """The new chunks by how they are learned: words of letters, others, and by numbers those made
+        of letters and marks (-1: none) that are chunks as well, numbered here where they are new."""
+        words, others, made = [], [], []
+        for number, chunk in enumerate(self.new, len(self) - len(self.new)):  # letters and marks are appended meanwhile
+            cut = letters_and_marks(chunk)
+            if not cut:
+                others.append(chunk)
+            elif cut[0] == chunk:
+                words.append(chunk)
+            else:
+                made.append((number, self[cut[0]], self[cut[1]] if cut[1] else -1))
+        return words, others, made
+
+    def keep(self, runs: list[list[int]], *known: list) -> list[list[int]]:
+        """Forget all chunks but those of ``runs``, also in the lists ``known``; ``runs`` by the new numbers."""
+        kept = sorted(set().union(*runs))
+        names = list(self)
+        self.clear()
+        self.update((names[i], k) for k, i in enumerate(kept))
+        for values in known:
+            values[:] = [values[i] for i in kept]
+        moved = {i: k for k, i in enumerate(kept)}
+        return [[moved[i] for i in run] for run in runs]
+
+
 _held: dict[str, Callable[[], None]] = {}
 
 

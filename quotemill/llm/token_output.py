@@ -14,6 +14,7 @@ the index, and reading them does not touch the planes.
 from __future__ import annotations
 
 import functools
+import json
 import os
 import struct
 import zlib
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from quotemill.llm.shared import map_batches, parts, texts_of
+from quotemill.llm.shared import Chunks, cuts_letters, map_batches, parts, texts_of
 from quotemill.scratch import scratch_path
 
 BLOCK = 1 << 16
@@ -59,7 +60,8 @@ class LibraryEncoder:
     """Ids of whole texts by the tokenizers library, as little-endian unsigned 32-bit integers.
 
     No rule of the tokenizer looks across ASCII white space, which gets no id, so the
-    library encodes each distinct chunk between white space once.
+    library encodes each distinct chunk between white space once. If the tokenizer's words are
+    either letters or marks, chunks that differ in case or in marks at their end share their letters' ids.
     """
 
     def __init__(self, path: str) -> None:
@@ -70,21 +72,55 @@ class LibraryEncoder:
         added = sorted(self.library.get_added_tokens_decoder().items())
         plain = ((x.content.encode(), i) for i, x in added if not (x.normalized or x.lstrip or x.rstrip or x.single_word))
         self.between = next(plain, None)
-        self.known: dict[bytes, bytes] = {}
+        with open(path, encoding="utf-8") as file:
+            content = json.load(file)
+        suffix = content["model"].get("end_of_word_suffix")
+        self.apart = bool(suffix) and cuts_letters(content)
+        #: By id, whether a word ends with it.
+        self.ends = np.zeros(1 + max(self.library.get_vocab().values()), dtype=bool)
+        if self.apart:
+            self.ends[[i for token, i in content["model"]["vocab"].items() if token.endswith(suffix)]] = True
+        self.chunks = Chunks()
+        #: Ids of each chunk by its number.
+        self.known: list[bytes] = []
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
+        chunks, known = self.chunks, self.known
         for a, b in parts(texts):
-            runs = [t.split() for t in texts[a:b]]
-            distinct = set().union(*runs)
-            new = distinct.difference(self.known)
-            if len(self.known) + len(new) > MAX_WORDS:
-                self.known.clear()
-                new = distinct
-            self._learn(list(new))
+            runs = [list(map(chunks.__getitem__, t.split())) for t in texts[a:b]]
+            if chunks.new:
+                self._learn()
+            if len(chunks) > MAX_WORDS:
+                runs = chunks.keep(runs, known)
             for run in runs:
-                yield b"".join(map(self.known.__getitem__, run))
-
-    def _learn(self, chunks: list[bytes]) -> None:
+                yield b"".join(map(known.__getitem__, run))
+
+    def _learn(self) -> None:
+        chunks, known = self.chunks, self.known
+        words, others, made = chunks.parted() if self.apart else ([], chunks.new, [])
+        known.extend([b""] * (len(chunks) - len(known)))
+        self._learn_alone(others + self._learn_words(words))
+        for number, letters, marks in made:
+            known[number] = known[letters] + known[marks] if marks >= 0 else known[letters]
+        chunks.new = []
+
+    def _learn_words(self, words: list[bytes]) -> list[bytes]:
+        """Encode words of letters, many in one text with spaces between them: each ends where an id
+        ends a word. Returns words that are not learned, as some of their text did not become such ids."""
+        left = []
+        for k in range(0, len(words), JOINED):
+            group = words[k : k + JOINED]
+            ids = np.array(self.library.encode_batch_fast([b" ".join(group).decode()], add_special_tokens=False)[0].ids, dtype="<u4")
+            at = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
+            if len(at) != len(group):
+                left += group
+                continue
+            flat = ids.tobytes()
+            for word, a, b in zip(group, [0, *at], at):
+                self.known[self.chunks[word]] = flat[a:b]
+        return left
+
+    def _learn_alone(self, chunks: list[bytes]) -> None:
         """Encode many chunks in one text, with an added token between them.
 
         The library cuts a text at such a token before anything else, so the chunks are encoded
@@ -103,10 +139,11 @@ class LibraryEncoder:
                 ids = np.array(self.library.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype="<u4")
                 at = (np.flatnonzero(ids == mark_id) * 4).tolist()
                 flat = ids.tobytes()
-                self.known.update((chunk, flat[a + 4 : b]) for chunk, a, b in zip(group, at, at[1:]))
+                for chunk, a, b in zip(group, at, at[1:]):
+                    self.known[self.chunks[chunk]] = flat[a + 4 : b]
         for chunk in alone:
             ids = self.library.encode(chunk.decode(), add_special_tokens=False).ids
-            self.known[chunk] = pack_ids(len(ids)).pack(*ids)
+            self.known[self.chunks[chunk]] = pack_ids(len(ids)).pack(*ids)
 
 
 _encoders: dict[str, LibraryEncoder] = {}

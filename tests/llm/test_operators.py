@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import gc
 import hashlib
+import json
 import math
 import random
 import re
 import weakref
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -333,6 +335,21 @@ def test_trie_on_random_strings():
     assert [ids for ids, _ in bpe.encoder(tokenizer_path()).encode([t.encode() for t in some])] == want
 
 
+def test_other_tokenizers_cut_marks_by_their_own_rules(tmp_path):
+    content = json.loads(Path(tokenizer_path()).read_text(encoding="utf-8"))
+    assert shared.cuts_letters(content)
+    content["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] = r"[\p{L}]+[.!]?|[\p{N}]|[^\s\p{L}\p{N}]"
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(content), encoding="utf-8")
+    library, text = Tokenizer.from_file(str(path)), "Marmot. marmot!! (marmot) 12"
+    ids = library.encode(text, add_special_tokens=False).ids
+    assert not shared.cuts_letters(content) and ids != Tokenizer.from_file(tokenizer_path()).encode(text, add_special_tokens=False).ids
+    (found,) = token_output.LibraryEncoder(str(path)).encode([text.encode()])
+    assert np.frombuffer(found, dtype="<u4").tolist() == ids
+    ((spelt, _),) = bpe.Encoder(str(path)).encode([text.encode()])
+    assert spelt == " ".join(map(str, ids))
+
+
 def test_token_files(docs, rows, empty):
     library, start = Tokenizer.from_file(tokenizer_path()), 0
     want = {}
@@ -363,6 +380,36 @@ def test_chunks_encoded_together_are_encoded_as_if_alone(monkeypatch):
         assert np.frombuffer(found, dtype="<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+class Counted:
+    """A library tokenizer that keeps the texts it encodes."""
+
+    def __init__(self, library):
+        self.library, self.texts = library, []
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += texts
+        return self.library.encode_batch_fast(texts, **options)
+
+
+def test_the_library_encodes_letters_once_whatever_case_and_marks():
+    library, encoder = Tokenizer.from_file(tokenizer_path()), token_output.LibraryEncoder(tokenizer_path())
+    encoder.library = counted = Counted(encoder.library)
+    texts = ["Marmot, (marmot) MARMOT!!", "marmot. Ébène ébène* 'marmot's x\u0301", "ÉBÈNE marmot;"]
+    for text, found in zip(texts, encoder.encode([t.encode() for t in texts]), strict=True):
+        assert np.frombuffer(found, dtype="<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    cut = " ".join(counted.texts).lower().replace("<|startoftext|>", " ").replace("<|endoftext|>", " ").split()
+    assert cut.count("marmot") == 1 and cut.count("ébène") == 1
+
+
+def test_a_full_cache_of_chunks_keeps_those_of_the_texts_at_hand(monkeypatch):
+    monkeypatch.setattr(token_output, "MAX_WORDS", 5)
+    library, encoder = Tokenizer.from_file(tokenizer_path()), token_output.LibraryEncoder(tokenizer_path())
+    for text in ["one two three four", "Two five six seven! two", "eight two", "one"]:
+        (found,) = encoder.encode([text.encode()])
+        assert np.frombuffer(found, dtype="<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+        assert b"two" in encoder.chunks or text == "one"
+
+
 @pytest.mark.parametrize("plane", ["bit", "byte"])
 @pytest.mark.parametrize("n", [0, 1, 7, 8, token_output.BLOCK, token_output.BLOCK + 3])
 def test_planes(plane, n):
