@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from quotemill.llm.shared import hold, map_batches, parts, texts_of
+from quotemill.llm.shared import Chunks, cuts_letters, hold, map_batches, parts, texts_of
 
 #: Trie nodes and encoded words that a task holds before it starts both anew.
 MAX_NODES = 500_000
@@ -33,6 +33,11 @@ MAX_PAIRS = 300_000
 NEVER = 1 << 60
 END_SHIFT = 0x10000
 
+#: The character that the byte-level rule writes for each byte: itself if it is visible in Latin-1, else one from 256 on.
+_seen = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_unseen = [b for b in range(256) if b not in _seen]
+SPELLING = "".join(chr(b if b in _seen else 256 + _unseen.index(b)) for b in range(256))
+
 #: Spaces, separators and marks that start a chunk might reach over its border.
 UNUSUAL = re.compile(r"^[^\x21-\x7e\xa1-\u02ff]|[\x00-\x20\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff]").search
 
@@ -46,7 +51,10 @@ class Merges:
 
     def __init__(self, path: str) -> None:
         with open(path, encoding="utf-8") as file:
-            model = json.load(file)["model"]
+            content = json.load(file)
+        model = content["model"]
+        #: Whether letters and marks are words apart.
+        self.apart = cuts_letters(content)
         self.ids: dict[str, int] = model["vocab"]
         self.rank: dict[tuple[int, int], int] = {}
         self.made: dict[int, tuple[int, int, int]] = {}
@@ -141,22 +149,24 @@ class Trie:
         """Ids of each distinct word. Sorted words walk the trie depth first."""
         out: dict[str, list[int]] = {}
         path, last = [0], ""
+        child, state, token, back = self.child, self.state, self.token, self.back
         for word in sorted(words):
-            if len(self.token) > MAX_NODES:
+            if len(token) > MAX_NODES:
                 self.clear()
                 path, last = [0], ""
+                child, state, token, back = self.child, self.state, self.token, self.back
             shared, most = 0, min(len(word), len(last)) - 1
             while shared < most and word[shared] == last[shared]:
                 shared += 1
             del path[shared + 1 :]
-            child, token, back = self.child, self.token, self.back
+            node = path[-1]
             for symbol in word[shared:-1]:
-                key = path[-1] << 21 | ord(symbol)
+                key = node << 21 | ord(symbol)
                 node = child.get(key)
                 if node is None:
-                    state, end, start = self._last_token(path, symbol)
+                    after, end, start = self._last_token(path, symbol)
                     node = child[key] = len(token)
-                    self.state.append(state)
+                    state.append(after)
                     token.append(end)
                     back.append(path[start])
                 path.append(node)
@@ -216,9 +226,10 @@ class Encoder:
         for text, i in named.items():
             self.name[i] = text
         self.digits = [str(i) for i in range(len(self.name))]
-        #: Of each chunk that was met: ids as text, and decoded ids.
-        self.ids: dict[bytes, str] = {}
-        self.decoded: dict[bytes, str] = {}
+        self.chunks = Chunks()
+        #: Of each chunk by its number: ids as text, and decoded ids.
+        self.ids: list[str] = []
+        self.decoded: list[str] = []
 
     def _words(self, chunks: list[str]) -> list[list[str]]:
         """Words of each chunk, cut in one call: chunks hold no white space and no special token,
@@ -246,13 +257,26 @@ class Encoder:
         head = self._cut(chunk[:at]) if at else []
         return [*head, self.special[mark], *(self._cut(rest) if rest else [])]
 
-    def _learn(self, chunks: set[bytes]) -> None:
-        cut: dict[bytes, list[str | int]] = {}
+    def _learn(self) -> None:
+        """Letters and marks are learned apart, so a chunk that differs from another in case or in
+        marks at its end is put together from what is known."""
+        chunks, ids, decoded = self.chunks, self.ids, self.decoded
+        words, others, made = chunks.parted() if self.merges.apart else ([], chunks.new, [])
+        ids.extend([""] * (len(chunks) - len(ids)))
+        decoded.extend([""] * (len(chunks) - len(decoded)))
+        self._learn_cut(others, {w: [w.decode() if w.isascii() else w.decode("latin-1").translate(SPELLING)] for w in words})
+        for number, letters, marks in made:
+            if marks >= 0:
+                ids[number] = f"{ids[letters]} {ids[marks]}"
+                decoded[number] = f"{decoded[letters]} {decoded[marks]}"
+            else:
+                ids[number], decoded[number] = ids[letters], decoded[letters]
+        chunks.new = []
+
+    def _learn_cut(self, chunks: list[bytes], cut: dict[bytes, list[str | int]]) -> None:
+        """Learn ``chunks``, and those that ``cut`` has the words of."""
         plain = []
         for chunk in chunks:
-            if chunk.isalpha():  # ASCII letters: one word under every rule
-                cut[chunk] = [chunk.decode().lower()]
-                continue
             text = chunk.decode("utf-8")
             if len(text.split()) == 1 and b"<|" not in chunk and not UNUSUAL(text):
                 plain.append(text)
@@ -267,30 +291,27 @@ class Encoder:
             spelt[word] = " ".join([self.digits[i] for i in ids])
             named[word] = " ".join([self.name[i] for i in ids])
         for chunk, own in cut.items():
+            number = self.chunks[chunk]
             if len(own) == 1:
-                self.ids[chunk], self.decoded[chunk] = spelt[own[0]], named[own[0]]
+                self.ids[number], self.decoded[number] = spelt[own[0]], named[own[0]]
             else:
-                self.ids[chunk] = " ".join([spelt[w] for w in own])
-                self.decoded[chunk] = " ".join([named[w] for w in own])
+                self.ids[number] = " ".join([spelt[w] for w in own])
+                self.decoded[number] = " ".join([named[w] for w in own])
 
     def encode(self, texts: list[bytes]) -> Iterator[tuple[str, str]]:
         """For each text its ids, as decimals joined by spaces, and the decoded ids.
 
         Tokens are decoded as themselves, joined by spaces: the tokenizer names no decoder.
         """
+        chunks, ids, decoded = self.chunks, self.ids, self.decoded
         for a, b in parts(texts):
-            chunks = [t.split() for t in texts[a:b]]
-            distinct = set().union(*chunks)
-            new = distinct.difference(self.ids)
-            if len(self.ids) + len(new) > MAX_WORDS:
-                self.ids.clear()
-                self.decoded.clear()
-                new = distinct
-            if new:
-                self._learn(new)
-            ids, decoded = self.ids.__getitem__, self.decoded.__getitem__
-            for run in chunks:
-                yield " ".join(filter(None, map(ids, run))), " ".join(filter(None, map(decoded, run)))
+            runs = [list(map(chunks.__getitem__, t.split())) for t in texts[a:b]]
+            if chunks.new:
+                self._learn()
+            if len(chunks) > MAX_WORDS:
+                runs = chunks.keep(runs, ids, decoded)
+            for run in runs:
+                yield " ".join(filter(None, map(ids.__getitem__, run))), " ".join(filter(None, map(decoded.__getitem__, run)))
 
 
 def count_ids(ids: str) -> int:

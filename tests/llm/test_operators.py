@@ -335,6 +335,26 @@ def test_trie_on_random_strings():
     assert [ids for ids, _ in bpe.encoder(tokenizer_path()).encode([t.encode() for t in some])] == want
 
 
+def test_letters_go_through_the_trie_once_whatever_case_and_marks(monkeypatch):
+    library, coder, walked = Tokenizer.from_file(tokenizer_path()), bpe.Encoder(tokenizer_path()), []
+    encode = coder.trie.encode
+    monkeypatch.setattr(coder.trie, "encode", lambda words: walked.extend(words) or encode(words))
+    for text in ["Marmot, marmot", "MARMOT!! Ébène", "marmot. ébène; x\u0301 't marmot's<|endoftext|>"]:
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert list(coder.encode([text.encode()])) == [(" ".join(map(str, ids)), library.decode(ids, skip_special_tokens=False))]
+    assert walked.count("marmot") <= 2  # once as letters, once in a chunk that the library cuts
+    assert walked.count("ébène".encode().decode("latin-1").translate(bpe.SPELLING)) == 1
+
+
+def test_a_full_cache_of_the_trie_keeps_chunks_at_hand(monkeypatch):
+    monkeypatch.setattr(bpe, "MAX_WORDS", 5)
+    library, coder = Tokenizer.from_file(tokenizer_path()), bpe.Encoder(tokenizer_path())
+    for text in ["one two three four", "Two five six seven! two", "eight two", "one"]:
+        ((found, _),) = coder.encode([text.encode()])
+        assert found == " ".join(map(str, library.encode(text, add_special_tokens=False).ids))
+        assert b"two" in coder.chunks or text == "one"
+
+
 def test_other_tokenizers_cut_marks_by_their_own_rules(tmp_path):
     content = json.loads(Path(tokenizer_path()).read_text(encoding="utf-8"))
     assert shared.cuts_letters(content)
