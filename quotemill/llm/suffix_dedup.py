@@ -268,7 +268,7 @@ def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """By text key: the byte ranges that repeat elsewhere, and the texts that have copies.
 
     ``docs`` has text_key and text. A text with a copy repeats as a whole; apart from
-    that, equal texts of a task are looked at once.
+    that, equal texts of a task are looked at once. Neither is written: who uses them twice has to.
     """
     copies = docs.groupBy("text_key").agg(F.count("*").alias("n")).where("n > 1").select("text_key")
     long_enough = docs.where(F.octet_length("text") >= LENGTH)
@@ -287,7 +287,7 @@ def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     found = sorted_names.mapInArrow(_compare, "text_key long, low int, high int")
     if not hot.isEmpty():
         found = found.unionByName(_hot_windows(fine.join(hot, ["n1", "n2"]).select(*fine.columns)))
-    return land(found.groupBy("text_key").agg(F.collect_list(F.struct("low", "high")).alias("ranges")), "found"), copies
+    return found.groupBy("text_key").agg(F.collect_list(F.struct("low", "high")).alias("ranges")), copies
 
 
 def _marked(docs: DataFrame) -> DataFrame:

@@ -214,6 +214,14 @@ def test_common_names_are_counted_by_window(docs, monkeypatch):
     assert pairs_of(suffix_dedup.digests(docs), "doc_id", "n_removed", "kept_sha256") == want
 
 
+def test_repeated_ranges_are_written_once(docs, monkeypatch):
+    """Each file that a task writes starts helper processes, which may be counted with its executor's memory."""
+    labels, land = [], suffix_dedup.land
+    monkeypatch.setattr(suffix_dedup, "land", lambda df, label: labels.append(label) or land(df, label))
+    assert suffix_dedup.digests(docs).count() == docs.count()
+    assert labels == ["coarse", "ranges", "fine", "hot", "marks"]
+
+
 def test_blocks_of_texts_do_not_pile_up():
     """A block is some ten times its text; a worker must be rid of it before it makes the next."""
     rng = random.Random(5)

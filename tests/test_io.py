@@ -1,3 +1,4 @@
+import os
 import uuid
 
 import pytest
@@ -7,7 +8,7 @@ from pyspark.sql import types as T
 
 from quotemill import plans, sinks, sources
 from quotemill.schemas import QUOTE, STAGING, SYMBOLS, star_schemas
-from quotemill.scratch import scratch_base, scratch_path
+from quotemill.scratch import land, scratch_base, scratch_path
 from workload import fixtures
 
 
@@ -27,6 +28,14 @@ def test_scratch_follows_the_session(spark):
     assert scratch_path(spark) != scratch_path(spark)
 
 
+def test_landed_files_have_no_checksum_files(spark):
+    """A local checksum file costs one more helper process for each file that a task lands."""
+    path = scratch_path(spark)
+    assert land(spark.range(0, 10, 1, 3), path=path).count() == 10
+    names = os.listdir(path.removeprefix("file://"))
+    assert sum(n.endswith(".parquet") for n in names) == 3 and not [n for n in names if n.endswith(".crc")]
+
+
 def test_scratch_without_setting(monkeypatch):
     class Session:
         class conf:
